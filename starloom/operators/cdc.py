@@ -95,10 +95,11 @@ def duplicate_rows(df: DataFrame, business: Sequence[str], keep: str) -> DataFra
     The kept id per group comes from an aggregate and is joined back, so no window has to hold a
     whole group.
     """
-    kept = df.groupBy(*business).agg(F.min(keep).alias("original_id"))
-    same = [df[c].eqNullSafe(kept[c]) for c in business]
-    return (df.join(kept, same, "inner").filter(df[keep] != kept["original_id"])
-            .select(df[keep].alias("duplicate_id"), kept["original_id"], *[df[c] for c in business]))
+    kept = df.groupBy(*business).agg(F.min(keep).alias("original_id")).select(
+        "original_id", *[F.col(c).alias(f"_b{i}") for i, c in enumerate(business)])
+    same = [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(business)]
+    return (df.join(kept, same, "inner").filter(F.col(keep) != F.col("original_id"))
+            .select(F.col(keep).alias("duplicate_id"), "original_id", *business))
 
 
 def dedup_normalised(df: DataFrame, key: str, columns: Sequence[str],
@@ -109,8 +110,8 @@ def dedup_normalised(df: DataFrame, key: str, columns: Sequence[str],
     """
     normal = [F.upper(F.trim(F.col(c).cast("string"))) for c in columns]
     marked = df.withColumn("_norm", F.struct(*[n.alias(f"n{i}") for i, n in enumerate(normal)]))
-    first = marked.groupBy("_norm").agg(F.min(key).alias("_first_key"))
-    joined = marked.join(first, marked["_norm"].eqNullSafe(first["_norm"]), "inner").drop("_norm")
+    first = marked.groupBy(F.col("_norm").alias("_n")).agg(F.min(key).alias("_first_key"))
+    joined = marked.join(first, F.col("_norm").eqNullSafe(F.col("_n")), "inner").drop("_norm", "_n")
     if not references:
         return joined.filter(F.col(key) == F.col("_first_key")).drop("_first_key")
     used = None

@@ -63,6 +63,16 @@ def fact_sales(lines: DataFrame, headers: DataFrame, dims: dict[str, DataFrame])
         "tiene_descuadre", F.greatest(F.col(INGESTED), F.col("_header_ts")).alias(INGESTED))
 
 
+def clamp_returns(returns: DataFrame, lines: DataFrame, line: str = "sales_order_line_id") -> DataFrame:
+    """Returns with the quantity cut to what the line sold; a return without its line stays as it is.
+
+    ``lines`` holds one row per line with its repaired ``quantity``.
+    """
+    sold = lines.select(F.col(line).alias("_line"), F.col("quantity").alias("sold_quantity"))
+    joined = returns.join(sold, F.col(line) == F.col("_line"), "left").drop("_line")
+    return joined.withColumn("clamped_quantity", F.least("returned_quantity", "sold_quantity"))
+
+
 def changed_lines(lines: DataFrame, headers: DataFrame, watermark: datetime) -> DataFrame:
     """Ids of the lines that changed, or whose header did, since the watermark.
 

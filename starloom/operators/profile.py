@@ -84,6 +84,14 @@ def repair_audit(df: DataFrame, rules: Mapping[str, tuple[Column, Column]]) -> D
             .withColumn("left_as_is", F.col("defects") - F.col("repaired")))
 
 
+def null_counts(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """Missing values of the columns that are left as they are, counted in one scan."""
+    counts = df.agg(F.count("*").alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return counts.select("rows", F.explode(F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.col(c).alias("nulls"))
+        for c in columns])).alias("x")).select("x.table_name", "x.column_name", "rows", "x.nulls")
+
+
 def star_rollup(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
     """Measures by dimension attributes; ``dims`` maps a name to (dimension, key, attributes).
 

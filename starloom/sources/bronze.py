@@ -48,10 +48,11 @@ def land_changes(df: DataFrame, root: str, entity: str, batch_id: str | None = N
     """Append change rows below the entity's folder, one folder per arrival date.
 
     With a ``batch_id`` the rows go to that batch's own folder, which a retry replaces, so a batch
-    landed twice is not there twice. Rows are clustered by date first: one writer per date and
-    shuffle partition, not one file per date and input task.
+    landed twice is not there twice. The rebalance hint lets adaptive execution gather each date's
+    rows into few files and still split a date that is too large for one task, such as that of the
+    initial snapshot.
     """
-    dated = df.withColumn("date", F.to_date(INGESTED))
+    dated = df.withColumn("date", F.to_date(INGESTED)).hint("rebalance", "date")
     path = entity_path(root, entity)
     if batch_id is None:
         dated.write.partitionBy("date").mode("append").parquet(path)
