@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -40,7 +41,7 @@ def eligible_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
     return active(lines).join(head, ORDER_KEY, "inner")
 
 
-def fact_sales(lines: DataFrame, headers: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def fact_sales(lines: DataFrame, headers: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """The fact rows. ``dims`` holds cliente, producto (versioned), canal and sucursal.
 
     Customer and product resolve to the version in force on the sale date; a missing dimension row

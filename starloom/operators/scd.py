@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from starloom.contracts import FIRST_MOMENT, INGESTED, LAST_MOMENT, SEQ, UNKNOWN_KEY
 from starloom.functions.keys import moment_text, surrogate_key
-from starloom.operators.segments import DAY, with_neighbour
+from starloom.operators.segments import DAY, edge_window, segment_of
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
@@ -85,23 +86,50 @@ def scd2_history(log: DataFrame, key: str, attributes: Sequence[str], check: Seq
     """All versions from a change log in one pass, equal to folding ``snapshot_check`` over its
     microbatches. The log holds at most one row per key and moment (see ``net_changes``).
 
-    Consecutive rows with equal ``check`` columns merge into the earlier one. Previous and next
-    rows are found by segment, so a key with a third of the log does not end up in one task.
+    Consecutive rows with equal ``check`` columns merge into the earlier one. A key with a large
+    share of the log is worked on by time segment (see ``segments``): the first window finds the
+    changes inside a segment and drops the rows that change nothing, the second settles the first
+    row of each segment and carries version ends across segments.
     """
     ts = order[0]
     columns = [key, *[c for c in attributes if c != key]]
     extra = [c for c in order if c not in columns]
-    rows = log.select(*columns, *extra)
-    state = F.struct(*check)
-    marked = with_neighbour(rows, [key], order, ts, state, "_before", seconds=segment_seconds)
-    versions = (marked.filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state))
-                .withColumn("_first", F.col("_before").isNull()).drop("_before"))
-    closed = with_neighbour(versions, [key], order, ts, F.col(ts), "_end", forward=True,
-                            seconds=segment_seconds)
+    rows = log.select(*columns, *extra).withColumn("_seg", segment_of(F.col(ts), segment_seconds))
+    newest_first = [F.col(c).desc() for c in order]
+
+    def step(df: DataFrame, window: WindowSpec) -> tuple[DataFrame, Column, Column]:
+        """The frame with the previous row's values, whether there is one, and whether it differs."""
+        previous = df.withColumns({
+            "_has": F.lead(F.lit(True)).over(window),
+            **{f"_p{i}": F.lead(c).over(window) for i, c in enumerate(check)}})
+        same = F.lit(True)
+        for i, c in enumerate(check):
+            same = same & F.col(c).eqNullSafe(F.col(f"_p{i}"))
+        return previous, F.col("_has").isNotNull(), ~same
+
+    helpers = ["_has", *[f"_p{i}" for i in range(len(check))]]
+    inside = Window.partitionBy(key, "_seg").orderBy(*newest_first)
+    later = Window.unboundedPreceding, -1
+    rows, has_previous, differs = step(rows, inside)
+    rows = rows.withColumns({"_opens": ~has_previous, "_changed": has_previous & differs}).drop(*helpers)
+    # The next change inside the segment, if any; rows run from newest to oldest here.
+    next_change = F.last(F.when(F.col("_changed"), F.col(ts)), ignorenulls=True).over(inside.rowsBetween(*later))
+    rows = (rows.withColumn("_next", next_change).filter(F.col("_opens") | F.col("_changed"))
+            .withColumn("_edge", F.col("_opens") | F.col("_next").isNull()))
+
+    across = edge_window([key], "_edge", "_seg").orderBy(*newest_first)
+    rows, has_previous, differs = step(rows, across)
+    rows = rows.withColumns({
+        "_first": F.col("_opens") & ~has_previous,
+        "_changed": F.when(F.col("_opens"), ~has_previous | differs).otherwise(True)}).drop(*helpers)
+    # Where a segment's versions start at the earliest, as seen from the segments before it.
+    start_here = F.when(F.col("_opens"), F.when(F.col("_changed"), F.col(ts)).otherwise(F.col("_next")))
+    next_start = F.last(start_here, ignorenulls=True).over(across.rowsBetween(*later))
     start = F.col(ts)
     if backdate_first:
         start = F.when(F.col("_first"), _moment(FIRST_MOMENT)).otherwise(start)
-    return closed.select(*columns, start.alias(VALID_FROM), F.col("_end").alias(VALID_TO))
+    return (rows.withColumn("_later", next_start).filter("_changed")
+            .select(*columns, start.alias(VALID_FROM), F.coalesce("_next", "_later").alias(VALID_TO)))
 
 
 def unknown_row(spark: SparkSession, schema: T.StructType, values: Mapping[str, object]) -> DataFrame:

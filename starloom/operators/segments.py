@@ -1,9 +1,10 @@
 """Neighbour values within a key's history without holding the whole history in one task.
 
 A window partitioned by the key alone sends all rows of a hot key to one task. Here each key's
-history is cut into time segments. Neighbours inside a segment come from a window over (key, segment);
-across segments only one edge row per (key, segment) takes part. The segment length bounds both: rows
-of one key in one segment, and segments of one key.
+history is cut into time segments. A first window over (key, segment) finds the neighbours inside a
+segment and marks the edge rows, at most two per segment. A second window holds the edge rows of a key
+together and leaves all others in their segment. The segment length bounds both: rows of one key in
+one segment, and segments of one key.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 DAY = 86400
 
@@ -21,6 +23,11 @@ def segment_of(ts: Column, seconds: int = DAY) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(seconds))
 
 
+def edge_window(keys: Sequence[str], edge: str, segment: str) -> WindowSpec:
+    """Edge rows of a key together, other rows by segment."""
+    return Window.partitionBy(*keys, edge, F.when(F.col(edge), F.lit(0)).otherwise(F.col(segment)))
+
+
 def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str,
                    value: Column, name: str, forward: bool = False, seconds: int = DAY) -> DataFrame:
     """Add the previous (or, ``forward``, the next) row's ``value`` within the key's history.
@@ -28,26 +35,15 @@ def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
     ``name`` is NULL for the first (last) row of a key. ``value`` must not be NULL; wrap it in a
     struct if it can be. ``order`` must be a total order that starts with ``ts``.
     """
-    keys = list(keys)
-    base = df.withColumn("_seg", segment_of(F.col(ts), seconds)).withColumn("_val", value)
+    neighbour = F.lead if forward else F.lag
     inside = Window.partitionBy(*keys, "_seg").orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy("_seg")
-    position = F.struct(*order)
-    if forward:
-        local, edge, carry = F.lead("_val").over(inside), F.min_by("_val", position), F.lead("_edge").over(across)
-    else:
-        local, edge, carry = F.lag("_val").over(inside), F.max_by("_val", position), F.lag("_edge").over(across)
-    # Edges are pre-aggregated on the map side; the carry window sees one row per key and segment.
-    edges = (base.select(*keys, "_seg", "_val", *[c for c in order if c not in keys])
-             .groupBy(*keys, "_seg").agg(edge.alias("_edge"))
-             .withColumn("_carry", carry)
-             .filter(F.col("_carry").isNotNull())
-             .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                     F.col("_seg").alias("_kseg"), "_carry"))
-    match = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    joined = base.withColumn("_local", local).join(edges, [*match, F.col("_seg") == F.col("_kseg")], "left")
-    return (joined.withColumn(name, F.coalesce("_local", "_carry"))
-            .drop("_seg", "_val", "_local", "_carry", "_kseg", *[f"_k{i}" for i in range(len(keys))]))
+    rows = df.withColumns({"_seg": segment_of(F.col(ts), seconds), "_val": value})
+    rows = rows.withColumns({
+        "_local": neighbour("_val").over(inside),
+        "_edge": F.lag(F.lit(1)).over(inside).isNull() | F.lead(F.lit(1)).over(inside).isNull()})
+    across = edge_window(keys, "_edge", "_seg").orderBy(*order)
+    return (rows.withColumn(name, F.coalesce("_local", neighbour("_val").over(across)))
+            .drop("_seg", "_val", "_local", "_edge"))
 
 
 def with_running_max(df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str,

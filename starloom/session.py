@@ -15,7 +15,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # AQE merges small shuffle partitions up to this size and splits skewed ones above it.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # No call-site capture per column expression: the plans here have many.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A side is broadcast only when its measured shuffle output is below this.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.streaming.stateStore.providerClass":
