@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def load():
     """All registered queries and oracles."""
-    from bindings import queries_ingest, queries_relational, queries_repair  # noqa: F401
+    from bindings import queries_ingest, queries_model, queries_relational, queries_repair  # noqa: F401
     from bindings.registry import ORACLES, QUERIES
     return QUERIES, ORACLES

@@ -148,7 +148,7 @@ def lines_model(source: str = "x_sales_order_lines") -> str:
   coalesce(abs(importe_origen - importe_calculado) > 0.01, FALSE) AS tiene_descuadre, ingested_at AS actualizado_en
 FROM (SELECT sales_order_line_id AS venta_detalle_id, sales_order_id AS venta_id, product_id AS producto_id,
   coalesce(quantity, CAST(round(line_subtotal / nullif(unit_price, 0)) AS INT)) AS cantidad,
-  CAST(unit_price AS DECIMAL(19,4)) AS precio_unitario, CAST({_DISC} AS DECIMAL(19,4)) AS descuento,
+  CAST(CAST(unit_price AS VARCHAR) AS DECIMAL(19,4)) AS precio_unitario, CAST({_DISC} AS DECIMAL(19,4)) AS descuento,
   CAST(line_total AS DECIMAL(19,4)) AS importe_origen,
   CAST(coalesce(line_subtotal, 0) - {_DISC} AS DECIMAL(19,4)) AS importe_calculado,
   cdc_operation = 'D' AS es_borrado, ingested_at FROM {source})"""
