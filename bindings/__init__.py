@@ -5,6 +5,7 @@ from __future__ import annotations
 
 def load():
     """All registered queries and oracles."""
-    from bindings import queries_ingest, queries_model, queries_relational, queries_repair, queries_stream  # noqa: F401
+    from bindings import (queries_ingest, queries_model, queries_quality, queries_relational,  # noqa: F401
+                          queries_repair, queries_stream)
     from bindings.registry import ORACLES, QUERIES
     return QUERIES, ORACLES

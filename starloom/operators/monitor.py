@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.contracts import (AMOUNT_TOLERANCE, FRESH_ERROR_MINUTES, FRESH_WARN_MINUTES, INGESTED,
-                                RECONCILIATION_SCHEMA, SLA_MINUTES, STALE_AFTER_MINUTES)
+                                OP, RECONCILIATION_SCHEMA, SLA_MINUTES, STALE_AFTER_MINUTES)
 from starloom.functions.dates import minutes_between
 from starloom.operators.fact import eligible_lines
 from starloom.operators.joins import reconcile
@@ -72,6 +73,23 @@ def sla_status(watermarks: DataFrame, sla: DataFrame, as_of: datetime | Column)
                         .when(F.col("age_minutes") > F.col("sla_minutes"), "LATE").otherwise("OK")))
 
 
+def recon_bronze_silver(pairs: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Distinct inserted or updated keys in Bronze, Silver rows, and keys Silver lacks, per entity.
+
+    ``pairs`` maps a name to (log, log key, Silver table, Silver key).
+    """
+    parts = None
+    for name, (log, log_key, table, key) in pairs.items():
+        wanted = log.filter(F.col(OP).isin("I", "U")).select(F.col(log_key).alias("_k")).distinct()
+        have = table.select(F.col(key).alias("_s"))
+        both = wanted.join(have, F.col("_k") == F.col("_s"), "full_outer")
+        one = both.agg(F.count("_k").alias("claves_bronze"), F.count("_s").alias("filas_silver"),
+                       F.count_if(F.col("_s").isNull()).alias("faltan")).select(
+            F.lit(name).alias("entidad"), "claves_bronze", "filas_silver", "faltan")
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
+
+
 def silver_totals(lines: DataFrame, headers: DataFrame, period: Column, name: str) -> DataFrame:
     """Eligible lines and amount per period; undated sales count under the unknown date."""
     return daily_totals(eligible_lines(lines, headers), period, name, "filas_silver", "importe_silver")
@@ -104,7 +122,7 @@ def recon_rows(verdicts: DataFrame, check: str, period: str, source: tuple[str,
     return verdicts.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in RECONCILIATION_SCHEMA.fields])
 
 
-def star_integrity(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+def star_integrity(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Orphans and unknowns per dimension; ``dims`` maps a name to (dimension, key column).
 
     The fact is counted per key first, so the joins see one row per key.
