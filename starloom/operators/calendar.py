@@ -26,7 +26,7 @@ def calendar_days(bounds: DataFrame, start: str = "start", end: str = "end") ->
 def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END,
              as_of: datetime | str = "1900-01-01") -> DataFrame:
     """Calendar dimension over a fixed range."""
-    bounds = spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
+    bounds = spark.range(0, 1, 1, 1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
     return dim_date_over(bounds, as_of)
 
 

@@ -134,7 +134,7 @@ def scd2_history(log: DataFrame, key: str, attributes: Sequence[str], check: Seq
 
 def unknown_row(spark: SparkSession, schema: T.StructType, values: Mapping[str, object]) -> DataFrame:
     """One typed row for the unknown member; columns without a value are NULL."""
-    return spark.range(1).select(*[
+    return spark.range(0, 1, 1, 1).select(*[
         (v if isinstance(v := values.get(f.name), Column) else F.lit(v)).cast(f.dataType).alias(f.name)
         for f in schema.fields])
 
