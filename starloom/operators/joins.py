@@ -28,17 +28,33 @@ def scd1_lookup(fact: DataFrame, dim: DataFrame, natural: str, take: Mapping[str
 
 
 def scd2_lookup(fact: DataFrame, dim: DataFrame, natural: str, moment: str, take: Mapping[str, str],
-                start: str = "valido_desde", end: str = "valido_hasta") -> DataFrame:
+                start: str = "valido_desde", end: str = "valido_hasta", split: str | None = None) -> DataFrame:
     """Left join to the dimension version in force at each row's ``moment``.
 
     An equi join on the natural key with the range as a residual condition. Without a version in
     force the taken columns are NULL.
+
+    ``split`` (such as "month") is for dimensions where one key has thousands of versions, each of
+    which the residual would test. Versions within one calendar unit are then joined on (key, unit);
+    of the versions crossing a unit's end a key has at most one per unit, and those are joined on the
+    key. Versions of a key must not overlap.
     """
     side = dim.select(F.col(natural).alias("_n"), F.col(start).alias("_from"), F.col(end).alias("_to"),
                       *[F.col(c).alias(o) for c, o in take.items()])
     in_force = ((F.col(natural) == F.col("_n"))
                 & (F.col(moment) >= F.col("_from")) & (F.col(moment) < F.col("_to")))
-    return fact.join(side, in_force, "left").drop("_n", "_from", "_to")
+    if split is None:
+        return fact.join(side, in_force, "left").drop("_n", "_from", "_to")
+
+    unit = F.date_trunc(split, F.col("_from"))
+    within = unit == F.date_trunc(split, F.col("_to"))
+    renamed = {o: f"_short_{i}" for i, o in enumerate(take.values())}
+    short = side.filter(within).withColumn("_unit", unit).withColumnsRenamed(renamed)
+    found = (fact.withColumn("_at", F.date_trunc(split, F.col(moment)))
+             .join(short, in_force & (F.col("_at") == F.col("_unit")), "left")
+             .drop("_n", "_from", "_to", "_unit", "_at"))
+    both = found.join(side.filter(~within), in_force, "left").drop("_n", "_from", "_to")
+    return both.withColumns({o: F.coalesce(s, o) for o, s in renamed.items()}).drop(*renamed.values())
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

@@ -12,12 +12,23 @@ from starloom.functions.text import (clean_email, clean_phone, clean_text, confo
                                      is_active, upper_label, valid_email)
 from starloom.operators.cdc import label_catalog, latest_event, mark_deleted
 
+CUSTOMER_INPUT = ["company_name", "country", "city", "contact_email", "contact_phone", "customer_since"]
+PRODUCT_INPUT = ["product_name", "category", "primary_supplier_id", "unit_cost", "list_price", "product_launch_date",
+                 "is_discontinued", "discontinued_date"]
+LINE_INPUT = ["sales_order_id", "product_id", "quantity", "unit_price", "discount_rate", "line_subtotal",
+              "discount_amount", "line_total"]
+
 
 def _trace():
     """Delete mark and the event's own arrival time and sequence."""
     return [mark_deleted(F.col(OP)).alias("es_borrado"), F.col(INGESTED), F.col(SEQ)]
 
 
+def newest(log: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Latest event per key, of the named columns only, so that no others are read or shuffled."""
+    return latest_event(log.select(key, *columns, OP, INGESTED, SEQ), [key])
+
+
 def _null(dtype: str = "string"):
     return F.lit(None).cast(dtype)
 
@@ -36,11 +47,11 @@ def clean_customers(events: DataFrame) -> DataFrame:
 
 
 def slv_customers(customers: DataFrame) -> DataFrame:
-    return clean_customers(latest_event(customers, ["customer_id"])).drop(SEQ)
+    return clean_customers(newest(customers, "customer_id", *CUSTOMER_INPUT)).drop(SEQ)
 
 
 def slv_categories(products: DataFrame) -> DataFrame:
-    labels = label_catalog(latest_event(products, ["product_id"]),
+    labels = label_catalog(newest(products, "product_id", "category"),
                            conform(F.col("category"), CATEGORY_ALIASES), "categoria_id")
     return labels.select(
         "categoria_id", F.col("categoria_id").alias("categoria_nombre"), _null().alias("categoria_padre_id"),
@@ -68,17 +79,18 @@ def clean_products(events: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def slv_products(products: DataFrame, categories: DataFrame) -> DataFrame:
-    return clean_products(latest_event(products, ["product_id"]), categories).drop(SEQ)
+    return clean_products(newest(products, "product_id", *PRODUCT_INPUT), categories).drop(SEQ)
 
 
 def slv_channels(orders: DataFrame) -> DataFrame:
-    labels = label_catalog(latest_event(orders, ["sales_order_id"]), upper_label(F.col("sales_channel")), "canal_id")
+    labels = label_catalog(newest(orders, "sales_order_id", "sales_channel"), upper_label(F.col("sales_channel")),
+                           "canal_id")
     return labels.select("canal_id", F.col("canal_id").alias("canal_nombre"), _null().alias("canal_tipo"),
                          F.col(INGESTED).alias("actualizado_en"), "es_borrado", INGESTED)
 
 
 def slv_branches(warehouses: DataFrame) -> DataFrame:
-    return latest_event(warehouses, ["warehouse_id"]).select(
+    return newest(warehouses, "warehouse_id", "warehouse_name", "country", "city").select(
         F.col("warehouse_id").alias("sucursal_id"), clean_text(F.col("warehouse_name")).alias("sucursal_nombre"),
         clean_text(F.col("city")).alias("ciudad"), _null().alias("region"),
         upper_label(F.col("country")).alias("pais"), F.col(INGESTED).alias("actualizado_en"), *_trace()).drop(SEQ)
@@ -87,19 +99,19 @@ def slv_branches(warehouses: DataFrame) -> DataFrame:
 def invoice_dates(invoices: DataFrame) -> DataFrame:
     """Latest repaired invoice date per order, deleted invoices left out."""
     repaired = repair.repair_invoice_date(F.col("invoice_date"), F.col("due_date"), F.col("payment_term_days"))
-    return (latest_event(invoices, ["invoice_id"]).filter(~mark_deleted(F.col(OP)))
+    return (newest(invoices, "invoice_id", "sales_order_id", "invoice_date", "due_date", "payment_term_days").filter(~mark_deleted(F.col(OP)))
             .groupBy("sales_order_id").agg(F.max(repaired).alias("invoice_date")))
 
 
 def first_shipments(shipments: DataFrame) -> DataFrame:
     """First shipment date per order, deleted shipments left out."""
-    return (latest_event(shipments, ["shipment_id"]).filter(~mark_deleted(F.col(OP)))
+    return (newest(shipments, "shipment_id", "sales_order_id", "ship_date").filter(~mark_deleted(F.col(OP)))
             .groupBy("sales_order_id").agg(F.min("ship_date").alias("ship_date")))
 
 
 def slv_orders(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, swap: bool = True) -> DataFrame:
     """Order headers with the repaired date. ``swap`` also tries the exchange of day and month."""
-    joined = (latest_event(orders, ["sales_order_id"])
+    joined = (newest(orders, "sales_order_id", "customer_id", "warehouse_id", "order_date", "order_status", "sales_channel")
               .join(invoice_dates(invoices), "sales_order_id", "left")
               .join(first_shipments(shipments), "sales_order_id", "left"))
     sold = repair.repair_order_date(F.col("order_date"), F.col("ship_date"), F.col("invoice_date"), swap)
@@ -116,7 +128,7 @@ def slv_order_lines(lines: DataFrame) -> DataFrame:
     """Order lines with repaired quantity and discount and the recomputed amount."""
     subtotal, price = F.col("line_subtotal"), F.col("unit_price")
     discount = repair.repair_discount(F.col("discount_amount"), subtotal, F.col("discount_rate"))
-    computed = latest_event(lines, ["sales_order_line_id"]).select(
+    computed = newest(lines, "sales_order_line_id", *LINE_INPUT).select(
         F.col("sales_order_line_id").alias("venta_detalle_id"), F.col("sales_order_id").alias("venta_id"),
         F.col("product_id").alias("producto_id"),
         repair.repair_quantity(F.col("quantity"), subtotal, price).alias("cantidad"),

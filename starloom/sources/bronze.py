@@ -75,12 +75,13 @@ def read_bronze(spark: SparkSession, root: str, entity: str, since: datetime | N
 
 def read_bronze_dates(spark: SparkSession, root: str, entity: str, since: datetime,
                       schema: T.StructType | None = None) -> DataFrame:
-    """Like ``read_bronze`` with ``since``, for logs landed by date without batch folders: whole
-    date folders before the watermark are never opened."""
+    """Like ``read_bronze`` with ``since``, for logs as ``land_changes`` lays them out: whole date
+    folders before the watermark are never opened."""
     schema = schema or ENTITIES[entity].change_schema
-    dated = T.StructType(schema.fields + [T.StructField("date", T.DateType())])
-    df = spark.read.schema(dated).parquet(entity_path(root, entity))
-    return newer_than(df.filter(F.col("date") >= F.lit(since.date())), since).drop("date")
+    df = spark.read.schema(schema).parquet(entity_path(root, entity))
+    if "date" in df.columns:
+        df = df.filter(F.col("date") >= F.lit(since.date()))
+    return newer_than(df, since).select(*schema.names)
 
 
 def newer_than(df: DataFrame, watermark: datetime, column: str = INGESTED) -> DataFrame:

@@ -175,6 +175,25 @@ def test_scd2_lookup_takes_the_version_in_force_once(spark):
         [("p", m) for m in moments] + [(None, START)], [None, 1, 2, 2, None]))
 
 
+@pytest.mark.parametrize("split", ["month", "day", "year"])
+def test_split_lookup_equals_plain_lookup(spark, split):
+    rng = random.Random(12)
+    dims, rows = [], []
+    for key in ("hot", "calm", "gap"):
+        steps = sorted({rng.randrange(200 * 24) for _ in range(600 if key == "hot" else 3)})
+        ends = [START + timedelta(hours=h) for h in steps[1:]] + [datetime(9999, 12, 31)]
+        dims += [(key, i, START + timedelta(hours=h), e) for i, (h, e) in enumerate(zip(steps, ends))
+                 if not (key == "gap" and i == 1)]
+        rows += [(key, START + timedelta(minutes=rng.randrange(-999, 210 * 1440))) for _ in range(150)]
+    rows += [(None, START), ("none", START), ("hot", None)]
+    dim = spark.createDataFrame(dims, "id string, key int, valido_desde timestamp_ntz, valido_hasta timestamp_ntz")
+    facts = spark.createDataFrame(rows, "id string, t timestamp_ntz")
+    plain = joins.scd2_lookup(facts, dim, "id", "t", {"key": "version"})
+    parts = joins.scd2_lookup(facts, dim, "id", "t", {"key": "version"}, split=split)
+    assert plain.columns == parts.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, parts.collect()))
+
+
 def test_fact_drops_lines_that_no_longer_qualify(spark):
     target = spark.createDataFrame([("l1", 1), ("l2", 2), ("l3", 3)], "venta_detalle_id string, x int")
     changed = spark.createDataFrame([("l1",), ("l2",), ("l4",)], "venta_detalle_id string")
