@@ -12,7 +12,7 @@ from pyspark.sql.window import WindowSpec
 
 from starloom.contracts import FIRST_MOMENT, INGESTED, LAST_MOMENT, SEQ, UNKNOWN_KEY
 from starloom.functions.keys import moment_text, surrogate_key
-from starloom.operators.segments import DAY, edge_window, segment_of
+from starloom.operators.segments import DAY, edge_group, segment_of
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
@@ -115,9 +115,9 @@ def scd2_history(log: DataFrame, key: str, attributes: Sequence[str], check: Seq
     # The next change inside the segment, if any; rows run from newest to oldest here.
     next_change = F.last(F.when(F.col("_changed"), F.col(ts)), ignorenulls=True).over(inside.rowsBetween(*later))
     rows = (rows.withColumn("_next", next_change).filter(F.col("_opens") | F.col("_changed"))
-            .withColumn("_edge", F.col("_opens") | F.col("_next").isNull()))
+            .withColumn("_group", edge_group(F.col("_opens") | F.col("_next").isNull(), F.col("_seg"))))
 
-    across = edge_window([key], "_edge", "_seg").orderBy(*newest_first)
+    across = Window.partitionBy(key, "_group").orderBy(*newest_first)
     rows, has_previous, differs = step(rows, across)
     rows = rows.withColumns({
         "_first": F.col("_opens") & ~has_previous,

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 DAY = 86400
 
@@ -23,9 +22,13 @@ def segment_of(ts: Column, seconds: int = DAY) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(seconds))
 
 
-def edge_window(keys: Sequence[str], edge: str, segment: str) -> WindowSpec:
-    """Edge rows of a key together, other rows by segment."""
-    return Window.partitionBy(*keys, edge, F.when(F.col(edge), F.lit(0)).otherwise(F.col(segment)))
+def edge_group(edge: Column, segment: Column) -> Column:
+    """Segment number for rows inside a segment, one common value for the edge rows of a key.
+
+    Keep it as a column: a window partitioned by the expression itself would shuffle anew for every
+    window function used.
+    """
+    return F.when(~edge, segment)
 
 
 def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str,
@@ -41,9 +44,10 @@ def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
     rows = rows.withColumns({
         "_local": neighbour("_val").over(inside),
         "_edge": F.lag(F.lit(1)).over(inside).isNull() | F.lead(F.lit(1)).over(inside).isNull()})
-    across = edge_window(keys, "_edge", "_seg").orderBy(*order)
+    rows = rows.withColumn("_group", edge_group(F.col("_edge"), F.col("_seg")))
+    across = Window.partitionBy(*keys, "_group").orderBy(*order)
     return (rows.withColumn(name, F.coalesce("_local", neighbour("_val").over(across)))
-            .drop("_seg", "_val", "_local", "_edge"))
+            .drop("_seg", "_val", "_local", "_edge", "_group"))
 
 
 def with_running_max(df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str,
