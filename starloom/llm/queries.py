@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate
+from starloom.llm import decontaminate, toxicity
+from starloom.llm.scan import crc_rest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +27,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), train=crc_rest("doc_id", 5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_rest("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")

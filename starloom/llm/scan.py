@@ -6,10 +6,13 @@ memory follows the longest text and not the number of rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PACK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -147,8 +150,29 @@ def ngram_counts(texts: list[bytes], kinds: np.ndarray, orders: tuple[int, ...],
     return cells.reshape(len(texts), buckets)
 
 
-def crc_rest(key: str, by: int):
-    """The remainder of the CRC-32 of a key as text, as a column."""
-    from pyspark.sql import functions as F
-
+def crc_rest(key: str, by: int) -> Column:
+    """The remainder of the CRC-32 of a key as text; -1 for a null key."""
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(by)), F.lit(-1))
+
+
+def add_results(docs: DataFrame, text_at: int, start: Callable[[], Callable[[list[bytes]], list[list]]], ddl: str) -> DataFrame:
+    """docs, its columns renamed c0, c1 ... by place (so that no name clashes), with the columns of ``ddl`` added.
+
+    ``start`` is called once in a task and returns the function from the texts of a pack to lists of results by column.
+    """
+    width = len(docs.columns)
+    frame = docs.toDF(*(f"c{i}" for i in range(width)))
+    added = T._parse_datatype_string(ddl)
+    schema = T.StructType([*frame.schema.fields, *added.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        kinds, rows_of = [to_arrow_type(f.dataType) for f in added.fields], start()
+        for batch in batches:
+            texts = texts_of(batch.column(text_at))
+            parts = [rows_of(texts[part]) for part in packs(texts)]
+            new = [pa.array([x for part in parts for x in part[j]], kind) for j, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *added.names])
+
+    return frame.mapInArrow(run, schema)
