@@ -48,11 +48,11 @@ def fit_logistic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray, ste
     pos, neg = weights[labels == 1].sum(), weights[labels == 0].sum()
     target = np.where(labels == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x = np.stack([logit(votes), np.ones(len(votes))])
-    beta = np.array([1.0, 0.0])
+    beta, prior = np.array([1.0, 0.0]), np.array([0.01, 1e-4]) * weights.sum()  # holds separable votes back
     for _ in range(steps):
         p = 1 / (1 + np.exp(-beta @ x))
-        gradient = x @ (weights * (p - target)) + 1e-3 * (beta - [1, 0])
-        hessian = (x * (weights * p * (1 - p))) @ x.T + 1e-3 * np.eye(2)
+        gradient = x @ (weights * (p - target)) + prior * (beta - [1, 0])
+        hessian = (x * (weights * p * (1 - p))) @ x.T + np.diag(prior)
         step = np.linalg.solve(hessian, gradient)
         beta = beta - step / max(1.0, np.abs(step).max())
         if np.abs(step).max() < 1e-8:

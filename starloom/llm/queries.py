@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, toxicity
+from starloom.llm import decontaminate, language, quality, toxicity
 from starloom.llm.scan import crc_rest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), train=crc_rest("doc_id", 5) != 0)
     return toxicity.score(docs, model).select(
         "doc_id", (crc_rest("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs, train=crc_rest("doc_id", 3) != 1)
+    return language.predict(docs, model).select("doc_id", (crc_rest("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), train=crc_rest("doc_id", 4) != 2)
+    return quality.score(docs, model).select(
+        "doc_id", (crc_rest("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
