@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, language, quality, toxicity
+from starloom.llm import decontaminate, language, neighbours, quality, toxicity
 from starloom.llm.scan import crc_rest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, read(spark, sf_dir, "labels"), train=crc_rest("doc_id", 4) != 2)
     return quality.score(docs, model).select(
         "doc_id", (crc_rest("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
