@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, language, neighbours, quality, toxicity
+from starloom.llm import decontaminate, language, neighbours, quality, secret_scan, toxicity
 from starloom.llm.scan import crc_rest
+from starloom.llm.spans import count, digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +56,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(count(F.col("base"), kind).alias(f"n_{kind}") for kind in secret_scan.KINDS),
+                        F.sha2(digest(F.col("base")), 256).alias("base_sha256"), digest(F.col("found")).alias("spans"))
