@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, language, neighbours, pii, quality, secret_scan, toxicity
+from starloom.llm import decontaminate, jaccard, language, neighbours, pii, quality, secret_scan, toxicity
 from starloom.llm.scan import crc_rest
 from starloom.llm.spans import count, digest
 
@@ -70,3 +70,8 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scan(read(spark, sf_dir, "documents"))
     return found.select("doc_id", *(count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS),
                         F.sha2(digest(F.col("base")), 256).alias("base_sha256"), digest(F.col("found")).alias("spans"))
+
+
+@query
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
