@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 PACK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BYTE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64)
+#: A random 64-bit value for each byte.
+RAW_BYTES = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -101,7 +102,7 @@ class Words:
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.first))
         up, self._down = powers(len(self.data))
         self._sum = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[self.canon] * up[: len(self.data)], out=self._sum[1:])
+        np.cumsum(RAW_BYTES[self.canon] * up[: len(self.data)], out=self._sum[1:])
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the canonical bytes between positions."""
