@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, jaccard, language, neighbours, pii, quality, secret_scan, suffixes, toxicity
+from starloom.llm import decontaminate, jaccard, language, neighbours, pieces, pii, quality, secret_scan, suffixes, toxicity
 from starloom.llm.scan import crc_rest
 from starloom.llm.spans import count, digest
 
@@ -80,3 +80,8 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read(spark, sf_dir, "documents"), with_ids=False)
