@@ -7,10 +7,12 @@ query looks at is calibrated: a bounded sample of queries is compared with brute
 leaves visited is doubled until their mean recall reaches ``recall``; in the last step all leaves are visited, so the
 search never ends below it. Leaves that hold fewer than k rows together are passed in any case.
 
-Work per task stays bounded: a leaf of many rows is dealt into parts of about ``part_rows`` rows by the hash of their id,
-queries are copied to the parts of the leaves they visit, each part answers with its k best, and a window merges these.
-Only the tree (bounded by the sample), the number of rows of each leaf and the calibration queries' answers are on the
-driver.
+Work per task stays bounded: neighbouring leaves make up shards of about ``shard_rows`` rows, and a leaf of more rows is
+dealt into several shards by the hash of their id. A query goes once to each shard that holds leaves it visits; a shard
+with more than ``query_block`` queries is copied for each block of them. Each shard answers with its k best rows of the
+visited leaves (a matrix product proposes, cosines in double precision decide) and a window merges these. Only the tree
+(bounded by the sample), the numbers of rows and queries of leaves and shards and the calibration queries' answers are
+on the driver.
 
 Defined results: vectors that are null, of length 0 or another length than the first valid vector's, zero, or with
 null or non-finite components take no part, neither as queries nor as candidates; ties go to the smaller id; a query
@@ -31,10 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from starloom.llm.spans import settled
+
 SAMPLE = 20_000
 LEAF_ROWS = 400
 BRANCHING = 8
-PART_ROWS = 4_000
+SHARD_ROWS = 16_384
+QUERY_BLOCK = 2_000
 MAX_LEAVES = 4_096
 CALIBRATION = 64
 
@@ -99,6 +104,20 @@ class Tree:
         return found
 
 
+def shards(sizes: np.ndarray, shard_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each leaf its first shard and over how many shards its rows are dealt."""
+    first, parts = np.zeros(len(sizes), np.int32), np.maximum(1, -(-sizes // shard_rows)).astype(np.int32)
+    shard, filled = 0, 0
+    for leaf, size in enumerate(sizes.tolist()):
+        if filled and filled + size > shard_rows:
+            shard, filled = shard + 1, 0
+        first[leaf] = shard
+        filled += size
+        if parts[leaf] > 1:
+            shard, filled = shard + int(parts[leaf]), 0
+    return first, parts
+
+
 def kmeans(rows: np.ndarray, k: int, random: np.random.Generator, steps: int = 8) -> np.ndarray | None:
     """The cluster of each row; None where all rows are alike."""
     distinct = np.unique(rows, axis=0)
@@ -133,9 +152,9 @@ def valid(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return table.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & F.coalesce(whole, F.lit(False)))
 
 
-def search(table: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, recall: float = 0.97,
-           sample: int = SAMPLE, leaf_rows: int = LEAF_ROWS, branching: int = BRANCHING, part_rows: int = PART_ROWS,
-           calibration: int = CALIBRATION) -> DataFrame:
+def search(table: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, recall: float = 0.95,
+           sample: int = SAMPLE, leaf_rows: int = LEAF_ROWS, branching: int = BRANCHING, shard_rows: int = SHARD_ROWS,
+           query_block: int = QUERY_BLOCK, calibration: int = CALIBRATION) -> DataFrame:
     """For each row that meets ``is_query`` its k nearest other rows: query_id, rank (from 1), the id, score."""
     rows = valid(table.where(F.col(id_col).isNotNull()), id_col, vector_col)
     queries = valid(table.where(is_query), id_col, vector_col)
@@ -159,13 +178,13 @@ def search(table: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector
                 leaf = tree.value.file(v / np.sqrt((v**2).sum(axis=1, keepdims=True)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=["id", "v", "leaf"])
 
-    filed = rows.mapInArrow(file, "id long, v array<double>, leaf long")
+    filed = settled(rows.mapInArrow(file, "id long, v array<double>, leaf long"), "leaves")
     sizes = np.zeros(tree.value.leaves, np.int64)
     for r in filed.groupBy("leaf").count().collect():  # one row for each leaf
         sizes[r["leaf"]] = r["count"]
-    parts = np.maximum(1, -(-sizes // part_rows))
-    parts_of = F.element_at(F.lit(parts.tolist()).cast("array<long>"), (F.col("leaf") + 1).cast("int"))
-    bins = filed.withColumn("part", F.pmod(F.xxhash64("id"), parts_of))
+    first, parts = shards(sizes, shard_rows)
+    at = lambda values: F.element_at(F.lit(values.tolist()).cast("array<int>"), (F.col("leaf") + 1).cast("int"))
+    bins = filed.withColumn("shard", at(first) + F.pmod(F.xxhash64("id"), at(parts)).cast("int"))
 
     def nearest(asked: DataFrame, leaves: int) -> DataFrame:
         """The k nearest rows found in the visited leaves; all leaves count when ``leaves`` is their number."""
@@ -174,29 +193,42 @@ def search(table: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                v, number, leaf = stacked(batch.column(1), dims), [], []
+                v, number, shard, seen = stacked(batch.column(1), dims), [], [], []
                 for i, row in enumerate(v / np.sqrt((v**2).sum(axis=1, keepdims=True))):
-                    own = tree.value.visit(row, sizes, leaves, k + 1)
-                    number += [i] * len(own)
-                    leaf += own
+                    by_shard: dict[int, list[int]] = {}
+                    for leaf in tree.value.visit(row, sizes, leaves, k + 1):
+                        for part in range(first[leaf], first[leaf] + parts[leaf]):
+                            by_shard.setdefault(part, []).append(leaf)
+                    number += [i] * len(by_shard)
+                    shard += by_shard
+                    seen += by_shard.values()
                 taken = batch.take(pa.array(number, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(leaf, pa.int64())], names=["id", "v", "leaf"])
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(shard, pa.int32()), pa.array(seen, pa.list_(pa.int64()))], names=["id", "v", "shard", "leaves"])
 
-        sent = asked.mapInArrow(visits, "id long, v array<double>, leaf long")
-        sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts_of - 1)))
+        sent = settled(asked.mapInArrow(visits, "id long, v array<double>, shard int, leaves array<long>"), "visits")
+        blocks = np.zeros(int((first + parts).max()), np.int64)
+        for r in sent.groupBy("shard").count().collect():  # one row for each shard
+            blocks[r["shard"]] = -(-r["count"] // query_block)
+        of = F.element_at(F.lit(blocks.tolist()).cast("array<int>"), F.col("shard") + 1)
+        left = sent.withColumn("block", F.pmod(F.xxhash64("id"), of).cast("int"))
+        right = bins.where(of > 0).withColumn("block", F.explode(F.sequence(F.lit(0), of - 1)))
 
         def meet(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            found = []
+            found = [pd.DataFrame({"query_id": np.zeros(0, np.int64), id_col: np.zeros(0, np.int64), "score": np.zeros(0)})]
             if len(left) and len(right):
-                ids, v = right["id"].to_numpy(), stacked(right["v"], dims)
-                for q, row in zip(left["id"].to_numpy(), stacked(left["v"], dims)):
-                    scores = np.where(ids == q, -2.0, cosines(row, v))
-                    top = best(ids, scores, k)
-                    top = top[scores[top] > -2]
-                    found.append(pd.DataFrame({"query_id": q, id_col: ids[top], "score": scores[top]}))
-            return pd.concat(found) if found else pd.DataFrame({"query_id": [], id_col: [], "score": []})
-
-        met = sent.groupBy("leaf", "part").cogroup(bins.groupBy("leaf", "part")).applyInPandas(meet, out)
+                ids, leaf, v = right["id"].to_numpy(), right["leaf"].to_numpy(), stacked(right["v"], dims)
+                unit = v / np.sqrt((v**2).sum(axis=1, keepdims=True))
+                for (q, row, seen) in zip(left["id"], left["v"], left["leaves"]):
+                    row = np.asarray(row, np.float64)
+                    near = np.where(np.isin(leaf, seen) & (ids != q), unit @ (row / np.sqrt((row**2).sum())), -2.0)
+                    bar = np.partition(near, -k)[-k] if len(near) > k else -2.0
+                    top = np.flatnonzero((near >= bar - 1e-9) & (near > -2))
+                    scores = cosines(row, v[top])
+                    own = best(ids[top], scores, k)
+                    found.append(pd.DataFrame({"query_id": q, id_col: ids[top][own], "score": scores[own]}))
+            return pd.concat(found)
+
+        met = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(meet, out)
         order = W.partitionBy("query_id").orderBy(F.desc("score"), id_col)
         return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", id_col, "score")
 
