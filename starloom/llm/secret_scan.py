@@ -9,8 +9,7 @@ it uses. The battery asks whether it looks drawn at random from that alphabet:
 - the serial correlation of neighbouring symbols.
 
 A candidate that deviates by more than ``deviate`` in one of them is not random. For the others the null hypothesis is
-"ordinary text": characters with the frequencies they have, over all documents, in candidates without digits. The ratio
-of the likelihoods (uniform alphabet to ordinary) has mean 1 under it, so its inverse is a valid p-value that shrinks
+"ordinary text": lower-case letters, capitals, digits and signs as often as in all documents. The ratio of the likelihoods (uniform alphabet to ordinary) has mean 1 under it, so its inverse is a valid p-value that shrinks
 with length. Candidates are accepted by the Benjamini-Hochberg rule at rate ``rate`` within each band of lengths; p-values
 are counted in steps of a tenth of a decade, rounded upwards, so the rule needs only a small table of counts.
 
@@ -43,6 +42,8 @@ ENCODINGS = (
     ("base64url", r"^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
 )
 SYMBOLS = UPPER + LOWER + DIGITS + "+/-_"
+#: Classes of symbols as a pattern and one by one.
+CLASSES = (("a-z", LOWER), ("A-Z", UPPER), ("0-9", DIGITS), ("+/_-", "+/_-"))
 STEPS = 3000  # p-values down to 10^-300
 
 
@@ -86,7 +87,7 @@ def battery(token: Column, alphabet: str, deviate: float) -> Column:
 def candidates(text: Column, base: Column, deviate: float) -> Column:
     """Candidates outside base spans: start, end, token, alphabet size, random."""
     found = F.filter(matches(text, CANDIDATE), lambda m: outside(m["start"], m["end"], base))
-    bare = F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.rtrim(F.lit("="), m["match"]).alias("token")))
+    bare = F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.rtrim(m["match"], F.lit("=")).alias("token")))
     return F.transform(bare, lambda m: F.struct(m["start"], m["end"], m["token"], tested(m["token"], deviate).alias("test")))
 
 
@@ -105,7 +106,8 @@ def annotate(docs: DataFrame, text_col: str, rate: float, deviate: float, keep_t
     narrow = docs if keep_text else docs.drop(text_col)
     kept = [F.col(c) for c in narrow.columns]
     first = docs.select(*kept, text.alias("_text"), base_spans(text).alias("base"))
-    rows = settled(first.select(*kept, "base", candidates(F.col("_text"), F.col("base"), deviate).alias("tokens")), "secrets")
+    used = F.struct(*(F.length(F.regexp_replace("_text", f"[^{c}]+", "")).cast("long").alias(f"n{i}") for i, (c, _) in enumerate(CLASSES)))
+    rows = settled(first.select(*kept, "base", candidates(F.col("_text"), F.col("base"), deviate).alias("tokens"), used.alias("used")), "secrets")
     accepted = thresholds(rows, rate)
     found = F.filter("tokens", lambda t: t["test"]["random"] & accepted(t))
     return rows.select(*kept, "base", F.array_sort(F.concat("base", spans(found, len(KINDS), "random"))).alias("found"))
@@ -114,10 +116,9 @@ def annotate(docs: DataFrame, text_col: str, rate: float, deviate: float, keep_t
 def thresholds(rows: DataFrame, rate: float):
     """The condition under which a random-looking token is a discovery, from counts over all documents."""
     tokens = rows.where(F.size("tokens") > 0).select(F.explode("tokens").alias("t")).select("t.token", "t.test")
-    plain = tokens.where(~F.col("token").rlike("[0-9]")).select(F.explode(F.split("token", "")).alias("c")).groupBy("c").count()
-    seen = {r["c"]: r["count"] for r in plain.where(F.length("c") == 1).collect()}  # at most one row for each symbol
-    total = sum(seen.values()) + len(SYMBOLS)
-    costs = F.create_map(*(F.lit(x) for c in SYMBOLS for x in (c, -log((seen.get(c, 0) + 1) / total))))
+    used = rows.agg(*(F.coalesce(F.sum(f"used.n{i}"), F.lit(0)) for i in range(len(CLASSES)))).first()
+    total = sum(used) + len(SYMBOLS)
+    costs = F.create_map(*(F.lit(x) for n, (_, symbols) in zip(used, CLASSES) for c in symbols for x in (c, -log((n / len(symbols) + 1) / total))))
 
     def step(token: Column, size: Column) -> Column:
         """Tenths of decades of the p-value, rounded towards 1."""
