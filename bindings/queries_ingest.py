@@ -20,7 +20,7 @@ from starloom.plans.gold import dim_channel
 from starloom.plans.silver import clean_customers
 from starloom.session import fresh_dir
 from starloom.sources import bronze
-from starloom.sources.tables import KeyedTable, append_log, replace_table
+from starloom.sources.tables import KeyedTable, append_log
 from starloom.streaming.jobs import start_files, stream_bronze
 
 LOG_SCHEMA = schema_of("user_id bigint, event_type string, value double, operation int, cdc_operation string, "
@@ -124,10 +124,10 @@ def _(b):
 
 @query("replace_write", "canal_key canal_id canal_nombre canal_tipo es_borrado ingested_at:t", "SELECT * FROM d_canal")
 def _(b):
-    path = fresh_dir(b.spark, "table")
-    replace_table(dim_channel(b.silver["slv_canales"], datetime(2001, 1, 1)), path)
-    replace_table(dim_channel(b.silver["slv_canales"], AS_OF), path)
-    return b.spark.read.parquet(path)
+    table = KeyedTable(b.spark, fresh_dir(b.spark, "table"), ["canal_key"])
+    table.replace(dim_channel(b.silver["slv_canales"], datetime(2001, 1, 1)), 1)
+    table.replace(dim_channel(b.silver["slv_canales"], AS_OF), 2)
+    return table.read()
 
 
 @query("schema_append_columns", "product_id list_price weight_kg",
@@ -161,9 +161,9 @@ RUN = "run_id pipeline_name layer_name entity_name status rows_affected:i logged
 FROM ({SWEEP_SQL}), range(2) t(r)""")
 def _(b):
     path, done = fresh_dir(b.spark, "log"), swept(b)
-    for r in range(2):
-        append_log(run_rows(done, "ingest", "bronze", "SUCCEEDED", f"run-{r}", AS_OF), path)
-    return b.spark.read.parquet(path)
+    for r in (0, 1, 1):  # the second run is repeated
+        append_log(run_rows(done, "ingest", "bronze", "SUCCEEDED", f"run-{r}", AS_OF), path, f"run-{r}")
+    return b.spark.read.parquet(path).drop("run")
 
 
 # ---- projections, filters, predicates -----------------------------------------------------

@@ -25,13 +25,13 @@ def _(b):
 
 
 @query("clean_email", "customer_id seq contact_email",
-       f"SELECT * REPLACE (lower({q.text('contact_email', 256)}) AS contact_email) FROM b_customers")
+       f"SELECT * REPLACE (lower({q.text('contact_email')}) AS contact_email) FROM b_customers")
 def _(b):
     return b.log("customers").withColumn("contact_email", clean_email(F.col("contact_email")))
 
 
 @query("clean_phone", "customer_id seq contact_phone",
-       """SELECT * REPLACE (nullif(regexp_replace(substr(contact_phone, 1, 50), '[-(). ]', '', 'g'), '')
+       """SELECT * REPLACE (nullif(regexp_replace(contact_phone, '[-(). ]', '', 'g'), '')
   AS contact_phone) FROM b_customers""")
 def _(b):
     return b.log("customers").withColumn("contact_phone", clean_phone(F.col("contact_phone")))

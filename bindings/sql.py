@@ -16,8 +16,8 @@ FOREVER = "TIMESTAMP '9999-12-31 00:00:00'"
 ORIGIN = "TIMESTAMP '1900-01-01 00:00:00'"
 
 
-def text(c: str, width: int = 400) -> str:
-    return f"nullif(trim(substr({c}, 1, {width})), '')"
+def text(c: str) -> str:
+    return f"nullif(trim({c}), '')"
 
 
 def label(c: str) -> str:
@@ -35,7 +35,7 @@ def category(c: str) -> str:
 
 
 def phone(c: str) -> str:
-    return f"nullif(translate(substr({c}, 1, 50), ' -().', ''), '')"
+    return f"nullif(translate({c}, ' -().', ''), '')"
 
 
 def ymd(c: str) -> str:
@@ -53,7 +53,7 @@ def signed(digest: str) -> str:
 
 
 def parts(*columns: str) -> str:
-    return " || ".join(f"coalesce(substr(CAST({c} AS VARCHAR), 1, 200), '<null>') || '||'" for c in columns)
+    return " || ".join(f"coalesce(CAST({c} AS VARCHAR), '<null>') || '||'" for c in columns)
 
 
 def key(*columns: str) -> str:
@@ -72,7 +72,7 @@ def newest(entity: str, source: str | None = None) -> str:
 
 
 def customer_model(source: str) -> str:
-    email = f"lower({text('contact_email', 256)})"
+    email = f"lower({text('contact_email')})"
     return f"""SELECT customer_id AS cliente_id, {text('company_name')} AS nombre, CAST(NULL AS VARCHAR) AS apellido,
   {text('company_name')} AS nombre_completo, {email} AS email, {phone('contact_phone')} AS telefono,
   {country('country')} AS pais, {text('city')} AS ciudad,

@@ -27,9 +27,9 @@ def moment_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS")
 
 
-def _parts(columns: Sequence[Column], width: int) -> Column:
+def _parts(columns: Sequence[Column]) -> Column:
     return F.concat(*[
-        F.concat(F.coalesce(F.substring(c.cast("string"), 1, width), F.lit(MISSING)), F.lit(PART_END))
+        F.concat(F.coalesce(c.cast("string"), F.lit(MISSING)), F.lit(PART_END))
         for c in columns])
 
 
@@ -39,11 +39,11 @@ def surrogate_key(*columns: Column, utf16: bool = False) -> Column:
     ``utf16`` hashes the UTF-16LE bytes instead of UTF-8, for keys that must equal those of a
     warehouse that stores national character text.
     """
-    text = _parts(columns, 200)
+    text = _parts(columns)
     digest = F.sha2(F.encode(text, "UTF-16LE") if utf16 else text, 256)
     return F.conv(F.substring(digest, 1, 16), 16, -10).cast("bigint")
 
 
 def attribute_hash(*columns: Column) -> Column:
     """SHA-256 fingerprint (64 upper-case hex digits) of the attributes, to detect any change."""
-    return F.upper(F.sha2(_parts(columns, 400), 256))
+    return F.upper(F.sha2(_parts(columns), 256))

@@ -8,22 +8,18 @@ from pyspark.sql import functions as F
 from starloom.contracts import EFFECTIVE_STATUS, EMAIL_PATTERN
 
 
-def _trimmed(c: Column, width: int) -> Column:
-    return F.nullif(F.trim(F.substring(c, 1, width)), F.lit(""))
-
-
-def clean_text(c: Column, width: int = 400) -> Column:
-    """Cut to the contract width, trim blanks, turn an empty text into NULL."""
-    return _trimmed(c, width)
+def clean_text(c: Column, width: int | None = None) -> Column:
+    """Trim blanks and turn an empty text into NULL; only an explicit ``width`` cuts the text."""
+    return F.nullif(F.trim(c if width is None else F.substring(c, 1, width)), F.lit(""))
 
 
 def clean_email(c: Column) -> Column:
-    return F.lower(_trimmed(c, 256))
+    return F.lower(clean_text(c))
 
 
 def clean_phone(c: Column) -> Column:
     """Drop blanks, dashes, brackets and dots; nothing left means NULL."""
-    return F.nullif(F.translate(F.substring(c, 1, 50), " -().", ""), F.lit(""))
+    return F.nullif(F.translate(c, " -().", ""), F.lit(""))
 
 
 def upper_label(c: Column) -> Column:

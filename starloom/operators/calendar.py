@@ -14,8 +14,11 @@ from starloom.operators.scd import with_unknown
 
 
 def number_series(bounds: DataFrame, low: str = "low", high: str = "high", name: str = "n") -> DataFrame:
-    """The integers from ``low`` to ``high`` of each row of ``bounds``."""
-    return bounds.select(F.explode(F.sequence(F.col(low), F.col(high))).alias(name))
+    """The integers from ``low`` to ``high`` of the one row of ``bounds``, made by all tasks; none for NULL bounds."""
+    row = bounds.select(low, high).first()
+    if row is None or None in row:
+        return bounds.sparkSession.range(0).toDF(name)
+    return bounds.sparkSession.range(row[0], row[1] + 1).toDF(name)
 
 
 def calendar_days(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:

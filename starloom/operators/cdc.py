@@ -84,9 +84,20 @@ def label_catalog(events: DataFrame, label: Column, name: str) -> DataFrame:
 
 
 def dedup_business(df: DataFrame, business: Sequence[str], keep: str) -> DataFrame:
-    """One row per combination of business columns: the one with the lowest ``keep`` value."""
+    """One row per combination of business columns: the one with the lowest ``keep`` value.
+
+    A row with a NULL among them equals no other and stays.
+    """
     others = [c for c in df.columns if c not in business and c != keep]
-    return first_by(df, business, [F.col(c).asc() for c in [keep, *others]])
+    known = _all_known(business)
+    return first_by(df.filter(known), business, [F.col(c).asc() for c in [keep, *others]]).unionByName(df.filter(~known))
+
+
+def _all_known(columns: Sequence[str]) -> Column:
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    return known
 
 
 def duplicate_rows(df: DataFrame, business: Sequence[str], keep: str) -> DataFrame:
@@ -95,6 +106,7 @@ def duplicate_rows(df: DataFrame, business: Sequence[str], keep: str) -> DataFra
     The kept id per group comes from an aggregate and is joined back, so no window has to hold a
     whole group.
     """
+    df = df.filter(_all_known(business))
     kept = df.groupBy(*business).agg(F.min(keep).alias("original_id")).select(
         "original_id", *[F.col(c).alias(f"_b{i}") for i, c in enumerate(business)])
     same = [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(business)]
@@ -106,19 +118,21 @@ def dedup_normalised(df: DataFrame, key: str, columns: Sequence[str],
                      references: Sequence[DataFrame] = ()) -> DataFrame:
     """Drop the rows equal to one with a lower key after trimming and upper-casing ``columns``.
 
-    A row some reference frame (one key column each) points to is kept even as a duplicate.
+    A row some reference frame (one key column each) points to is kept even as a duplicate, and so is a row with a NULL
+    among ``columns``, which equals no other.
     """
     normal = [F.upper(F.trim(F.col(c).cast("string"))) for c in columns]
     marked = df.withColumn("_norm", F.struct(*[n.alias(f"n{i}") for i, n in enumerate(normal)]))
     first = marked.groupBy(F.col("_norm").alias("_n")).agg(F.min(key).alias("_first_key"))
     joined = marked.join(first, F.col("_norm").eqNullSafe(F.col("_n")), "inner").drop("_norm", "_n")
+    stays = (F.col(key) == F.col("_first_key")) | ~_all_known(columns)
     if not references:
-        return joined.filter(F.col(key) == F.col("_first_key")).drop("_first_key")
+        return joined.filter(stays).drop("_first_key")
     used = None
     for ref in references:
         one = ref.select(F.col(ref.columns[0]).alias("_ref")).distinct()
         used = one if used is None else used.unionByName(one)
     used = used.distinct()
     return (joined.join(used, F.col(key) == F.col("_ref"), "left")
-            .filter((F.col(key) == F.col("_first_key")) | F.col("_ref").isNotNull())
+            .filter(stays | F.col("_ref").isNotNull())
             .drop("_first_key", "_ref"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -17,11 +17,6 @@ from starloom.sources.bronze import newer_than
 LINE_KEY = "venta_detalle_id"
 ORDER_KEY = "venta_id"
 
-FACT_COLUMNS = ["venta_detalle_id", "venta_id", "fecha_key", "cliente_key", "producto_key", "canal_key",
-                "sucursal_key", "cliente_id", "producto_id", "canal_id", "sucursal_id", "fecha_venta",
-                "cantidad", "precio_unitario", "descuento", "importe", "costo", "margen",
-                "tiene_descuadre", "ingested_at"]
-
 
 def active(df: DataFrame) -> DataFrame:
     """Rows not logically deleted."""
@@ -48,9 +43,9 @@ def fact_sales(lines: DataFrame, headers: DataFrame, dims: Mapping[str, DataFram
     gives the unknown key and, for the product, cost zero.
     """
     rows = eligible_lines(lines, headers)
-    rows = scd2_lookup(rows, dims["cliente"], "cliente_id", "fecha_venta", {"cliente_key": "_c"})
+    rows = scd2_lookup(rows, dims["cliente"], "cliente_id", "fecha_venta", {"cliente_key": "_c"}, split="month")
     rows = scd2_lookup(rows, dims["producto"], "producto_id", "fecha_venta",
-                       {"producto_key": "_p", "costo_unitario": "_cost"})
+                       {"producto_key": "_p", "costo_unitario": "_cost"}, split="month")
     rows = scd1_lookup(rows, dims["canal"], "canal_id", {"canal_key": "_n_key"})
     rows = scd1_lookup(rows, dims["sucursal"], "sucursal_id", {"sucursal_key": "_s"})
     cost = F.col("cantidad") * F.coalesce(F.col("_cost"), F.lit(0).cast(MONEY))
@@ -85,10 +80,20 @@ def changed_lines(lines: DataFrame, headers: DataFrame, watermark: datetime) ->
     return new.unionByName(touched).distinct()
 
 
-def changed_orders(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, watermark: datetime,
+def lines_of(lines: DataFrame, line_ids: DataFrame, order_ids: DataFrame) -> DataFrame:
+    """Ids of the lines named themselves or through their order, such as those that one batch wrote."""
+    touched = lines.join(order_ids.select(ORDER_KEY).distinct(), ORDER_KEY, "left_semi").select(LINE_KEY)
+    return line_ids.select(LINE_KEY).unionByName(touched).distinct()
+
+
+def changed_orders(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, watermark: datetime | Sequence[datetime],
                    key: str = "sales_order_id") -> DataFrame:
-    """Ids of the orders that changed, or whose invoice or shipment did, since the watermark."""
-    parts = [newer_than(df, watermark).select(key) for df in (orders, invoices, shipments)]
+    """Ids of the orders that changed, or whose invoice or shipment did, since the watermark.
+
+    Each log may have its own watermark, so that rows of one that arrive behind another are not missed.
+    """
+    marks = [watermark] * 3 if isinstance(watermark, datetime) else watermark
+    parts = [newer_than(df, mark).select(key) for df, mark in zip((orders, invoices, shipments), marks)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).filter(F.col(key).isNotNull()).distinct()
 
 

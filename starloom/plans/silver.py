@@ -142,17 +142,3 @@ def slv_order_lines(lines: DataFrame) -> DataFrame:
         repair.amount_gap(source, amount).alias("diferencia_importe"),
         repair.amount_mismatch(source, amount).alias("tiene_descuadre"),
         F.col(INGESTED).alias("actualizado_en"), "es_borrado", INGESTED)
-
-
-def build_silver(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All Silver models from the Bronze logs they need."""
-    categories = slv_categories(bronze["products"])
-    return {
-        "slv_clientes": slv_customers(bronze["customers"]),
-        "slv_categorias": categories,
-        "slv_productos": slv_products(bronze["products"], categories),
-        "slv_canales": slv_channels(bronze["sales_orders"]),
-        "slv_sucursales": slv_branches(bronze["warehouses"]),
-        "slv_ventas": slv_orders(bronze["sales_orders"], bronze["invoices"], bronze["shipments"]),
-        "slv_venta_detalle": slv_order_lines(bronze["sales_order_lines"]),
-    }

@@ -52,7 +52,7 @@ def land_changes(df: DataFrame, root: str, entity: str, batch_id: str | None = N
     rows into few files and still split a date that is too large for one task, such as that of the
     initial snapshot.
     """
-    dated = df.withColumn("date", F.to_date(INGESTED)).hint("rebalance", "date")
+    dated = df.withColumn("date", F.to_date(INGESTED)).hint("rebalance", "date").sortWithinPartitions("date", INGESTED)
     path = entity_path(root, entity)
     if batch_id is None:
         dated.write.partitionBy("date").mode("append").parquet(path)

@@ -18,7 +18,8 @@ def test_text_cleaning(spark):
     assert values(spark, text.clean_email(F.col("x")), x=" A@B.Com ") == "a@b.com"
     assert values(spark, text.clean_phone(F.col("x")), x="(1) 2-3.4") == "1234"
     assert values(spark, text.clean_phone(F.col("x")), x=" - ") is None
-    assert len(values(spark, text.clean_text(F.col("x")), x="y" * 500)) == 400
+    assert len(values(spark, text.clean_text(F.col("x")), x="y" * 500)) == 500
+    assert len(values(spark, text.clean_text(F.col("x"), 400), x="y" * 500)) == 400
 
 
 def test_conform_and_flags(spark):

@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.contracts import ENTITIES
 from starloom.plans.microbatch import Warehouse, run_microbatch
@@ -99,3 +100,41 @@ def test_error_rule_stops_before_gold_and_is_logged(warehouse):
     assert log == [("slv_clientes", "not_accepted_values_slv_clientes_email", "error", 1, "none")]
     run = wh.read_log("pipeline_run_log").first()
     assert (run.status, run.error_message) == ("FAILED", "not_accepted_values_slv_clientes_email")
+
+
+def test_rows_that_arrive_behind_other_entities_are_taken(warehouse):
+    wh = warehouse
+    land(wh, "shipments", 1, [event("I", T + timedelta(hours=2), 1, shipment_id="S1", sales_order_id="O1", ship_date=date(2024, 2, 25))])
+    assert run_microbatch(wh, 1, T) == {"failed": []}
+    between = T + timedelta(hours=1)  # behind the shipment of batch 1
+    land(wh, "sales_order_lines", 2, [line("I", between, 20, "L9", "O2"), line("I", between, 21, "L10", "O9")])
+    land(wh, "sales_orders", 2, [order("I", between, 20, "O9")])
+    assert run_microbatch(wh, 2, LATER) == {"failed": []}
+    assert {"L1", "L2", "L9", "L10"} <= set(fact(wh))
+    assert wh.read_log("reconciliation_log").filter("not is_match").count() == 0
+
+
+def test_a_batch_after_a_stop_at_the_gate_takes_both(warehouse):
+    wh = warehouse
+    assert run_microbatch(wh, 1, T) == {"failed": []}
+    land(wh, "customers", 2, [customer("U", LATER, 2, email="None")])
+    land(wh, "sales_order_lines", 2, [line("I", LATER, 20, "L9", "O2")])
+    assert run_microbatch(wh, 2, LATER)["failed"] and "L9" not in fact(wh)
+    land(wh, "customers", 3, [customer("U", LATER + timedelta(hours=1), 3)])
+    for _ in range(2):
+        assert run_microbatch(wh, 3, LATER + timedelta(hours=1)) == {"failed": []}
+        assert "L9" in fact(wh)
+    runs = sorted((r.run_id, r.status) for r in wh.read_log("pipeline_run_log").collect())
+    assert runs == [("batch-1", "SUCCEEDED"), ("batch-2", "FAILED"), ("batch-3", "SUCCEEDED")]
+    assert wh.read_log("data_quality_log").filter("severity = 'error'").count() == 1
+
+
+def test_a_dimension_that_fans_out_stops_the_job(warehouse):
+    wh = warehouse
+    assert run_microbatch(wh, 1, T) == {"failed": []}
+    versions = wh.read("snp_clientes")
+    versions.withColumns({"valid_from": versions["valid_from"] + timedelta(days=1), "_removed": F.lit(False)}).coalesce(1).write.parquet(
+        f"{wh.table('snp_clientes').path}/batch-2")  # a second version in force
+    land(wh, "sales_order_lines", 3, [line("I", LATER, 20, "L9", "O2")])
+    failed = run_microbatch(wh, 3, LATER)["failed"]
+    assert "one_current_version_dim_cliente" in failed

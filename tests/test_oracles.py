@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from bindings import load
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = load()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,7 @@ def rows(names, data):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
