@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.scan import ALNUM, Words, packs, texts_of
+from starloom.llm.scan import ALNUM, Words, packs, small_batches, texts_of
 
 BLOCK_WINDOWS = 1_000_000
 
@@ -84,6 +84,7 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str, n: int, block_win
 def annotate(docs: DataFrame, text_at: int, benchmark: DataFrame, item_col: str, item_text_col: str, n: int, block_windows: int) -> DataFrame:
     """docs, its columns renamed c0, c1 ... by place, with the struct ``found``: the number of words, ranges of hit words,
     ids of items found (sorted), and the text without its hit words (null where nothing is hit)."""
+    small_batches(docs.sparkSession)
     width = len(docs.columns)
     frame = docs.toDF(*(f"c{i}" for i in range(width))).withColumn("found", F.lit(None).cast(FOUND_DDL))
     parts = blocks(benchmark, item_col, item_text_col, n, block_windows)

@@ -4,18 +4,19 @@ A document's set holds the distinct hashes of its word n-grams. Two documents li
 ``percent`` * |A or B|, that is when their symmetric difference is at most (|A| + |B|)(100 - percent)/(100 + percent).
 
 1. Sets. One pass over the texts writes, for each document, the set's size, a 128-bit digest, a parity sketch (n-grams
-   XOR-hashed into about 4 bits for each of them) and the sketch's band keys. Documents of equal digest are one set.
+   XOR-hashed into 1 to 2 bits for each of them) and the sketch's band keys. Documents of equal digest are one set.
 2. Bands. Sizes fall into overlapping groups such that linked sets share one. A group cuts the hash space into parts;
    the parity of a part's n-grams (64 bits, and their number) is a band. Sets that differ in at most D n-grams agree in
    all but D bands, so a set publishes its richest bands, more than D of them: by the pigeonhole principle linked sets
    publish a common one. (If A needs bands of at least x n-grams and B of at least y >= x, then more than D of B's bands
    have y or more, one of them is untouched, and A publishes it too.) Bands meet by key in binary packs, so the shuffle
    moves a few rows for each task and 16 bytes for each band.
-3. Families. In each band key's bucket the Hamming distance of the sketches, a lower bound of the symmetric difference,
-   rules pairs out; what remains is reported as a spanning forest, never as pairs. Families are its components.
+3. Families. The members of a key's bucket meet under its smallest member, once for all their common keys. There the
+   Hamming distance of the sketches, a lower bound of the symmetric difference, rules pairs out; what remains is
+   reported as a spanning forest, never as pairs. Families are its components.
 4. Verification. A family's sets are compared exactly, again as forests; components of these are the result.
 
-Buckets and families larger than a block are compared in block pairs of bounded size, spread over tasks. This computes
+Groups larger than a block are compared in block pairs of bounded size, spread over tasks. This computes
 all comparisons of a family but neither ships nor emits its pairs. No partner is dropped; nothing is sampled.
 
 Defined results: null texts and texts without words have an empty set and link with nothing (component: their own id);
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.graph import Forest, components, each_group, in_blocks
-from starloom.llm.scan import SPACED, Words, mix, packs, texts_of
+from starloom.llm.scan import SPACED, Words, mix, packs, small_batches, texts_of
 from starloom.llm.spans import settled
 
 WORDS = 4
@@ -43,7 +44,7 @@ PERCENT = 85
 SKETCH_BLOCK = 1024
 SET_BLOCK = 256
 #: Band keys that a pack of the shuffle holds about, and that a map task gathers before it deals them out.
-PACK_KEYS, GATHER_KEYS = 500_000, 2_000_000
+PACK_KEYS, GATHER_KEYS = 500_000, 500_000
 
 
 def shingles(texts: list[bytes], n: int = WORDS) -> list[np.ndarray]:
@@ -66,7 +67,7 @@ def shingles(texts: list[bytes], n: int = WORDS) -> list[np.ndarray]:
 class Bands:
     """Size groups, parts and band keys for a threshold of ``percent``."""
 
-    def __init__(self, percent: int, stride: float = 3.0, spread: float = 1.3):
+    def __init__(self, percent: int, stride: float = 1.5, spread: float = 1.05):
         self.percent, self.reach = percent, log(100 / percent)
         self.stride, self.spread = stride * self.reach, spread
 
@@ -99,8 +100,8 @@ class Bands:
 
 
 def sketch(own: np.ndarray) -> bytes:
-    """Parities of the n-grams in a power of two of cells, about 4 for each; halves can be folded together."""
-    cells = max(64, 1 << (4 * len(own) - 1).bit_length()) if len(own) else 64
+    """Parities of the n-grams in a power of two of cells, 1 to 2 for each; halves can be folded together."""
+    cells = max(64, 1 << (len(own) - 1).bit_length()) if len(own) else 64
     odd = np.bincount((mix(own) & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -145,8 +146,12 @@ def read_sets(docs: DataFrame, id_col: str, text_col: str, percent: int, n: int)
     return settled(small.mapInArrow(run, "row long, id long, size long, digest string, code long, sketch binary, bands binary"), "sets")
 
 
-def buckets(sets: DataFrame) -> DataFrame:
-    """(bucket, code) of band keys that two or more different sets publish; a bucket is named by its members."""
+def led(sets: DataFrame) -> DataFrame:
+    """(leader, code): sets that publish a common band key, under the smallest code that publishes it.
+
+    All members of a key's bucket are under one leader, so every candidate pair meets there; the thousands of keys that
+    near copies of long texts share are one row for each copy.
+    """
     published = sets.where(F.col("bands").isNotNull()).select("code", "bands")
     total = published.agg(F.coalesce(F.sum(F.length("bands")), F.lit(0))).first()[0] // 8
     pack_count = max(1, total // PACK_KEYS)
@@ -183,19 +188,13 @@ def buckets(sets: DataFrame) -> DataFrame:
         keys, codes = keys[fresh], codes[fresh]
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         ends = np.append(starts[1:], len(keys))
-        big = ends - starts > 1
-        # Buckets of equal members are one: near copies agree in many bands.
-        members = np.cumsum(mix(codes.view(np.uint64)))
-        names = members[ends - 1] - members[starts] + mix(codes.view(np.uint64))[starts]
-        names, at = np.unique(np.where(big, names, 0), return_index=True)
-        at = at[big[at]]
-        number = ends[at] - starts[at]
-        place = np.repeat(starts[at] - np.concatenate(([0], np.cumsum(number)[:-1])), number) + np.arange(number.sum()) if len(at) else np.zeros(0, np.int64)
-        names = np.repeat(members[ends[at] - 1] - members[starts[at]] + mix(codes.view(np.uint64))[starts[at]], number)
-        return [pa.array(names.view(np.int64)), pa.array(codes[place])]
+        leader = np.repeat(codes[starts], ends - starts)
+        shared = np.repeat(ends - starts > 1, ends - starts)
+        pairs = np.unique(np.stack((leader[shared], codes[shared])), axis=1)
+        return [pa.array(pairs[0]), pa.array(pairs[1])]
 
     dealt = published.mapInArrow(deal, "pack long, keys binary, codes binary")
-    return each_group(dealt, ["pack"], meet, "bucket long, code long").distinct()
+    return each_group(dealt, ["pack"], meet, "leader long, code long").distinct()
 
 
 def linked(percent: int, exact: bool):
@@ -231,11 +230,12 @@ def linked(percent: int, exact: bool):
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = WORDS) -> DataFrame:
     """One row per document: id, n_shingles, component_id (the smallest id reachable by links)."""
+    small_batches(docs.sparkSession)
     sets = read_sets(docs, id_col, text_col, percent, n)
     # One row for each set: its first row stands for it.
     one = settled(sets.groupBy("digest").agg(F.min_by(F.struct("row", "id", "size", "code", "sketch"), "row").alias("s")).select("digest", "s.*"), "distinct-sets")
-    met = buckets(sets).join(one.select("code", "row", "size", "sketch"), "code").select("bucket", "row", "size", "sketch")
-    near = each_group(in_blocks(met, "bucket", "row", SKETCH_BLOCK), ["bucket", "i", "j"], linked(percent, False), "a long, b long")
+    met = in_blocks(settled(led(sets), "candidates"), "leader", "code", SKETCH_BLOCK).join(one.select("code", "row", "size", "sketch"), "code")
+    near = each_group(met, ["leader", "i", "j"], linked(percent, False), "a long, b long")
     family = components(near)
     members = settled(family.join(one.select(F.col("row").alias("id"), F.col("id").alias("doc"), "digest", "size", "sketch"), "id")
                       .select("label", F.col("id").alias("row"), "doc", "digest", "size", "sketch"), "families")
@@ -253,8 +253,8 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     wanted = members.select(F.coalesce("doc", F.lit(-1)).alias("doc")).distinct()
     texts = docs.select(key.alias("doc"), F.col(text_col).cast("string").alias("text")).join(wanted, "doc", "left_semi")
     own = texts.mapInArrow(exact_set, "doc long, digest string, own binary").groupBy("digest").agg(F.first("own").alias("own"))
-    full = settled(members.select("label", "row", "digest", "size", "sketch").join(own, "digest").drop("digest"), "family-sets")
-    links = each_group(in_blocks(full, "label", "row", SET_BLOCK), ["label", "i", "j"], linked(percent, True), "a long, b long")
+    full = in_blocks(members.select("label", "row", "digest", "size", "sketch"), "label", "row", SET_BLOCK).join(own, "digest")
+    links = each_group(full, ["label", "i", "j"], linked(percent, True), "a long, b long")
     label = components(links)
     placed = one.select("digest", "row", "size").join(label.withColumnRenamed("id", "row"), "row", "left")
     placed = placed.select("digest", F.when(F.col("size") > 0, F.coalesce("label", "row")).alias("component"))

@@ -30,6 +30,33 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+ORACLES["op1_decontaminate"] = r"""
+WITH words AS (
+    SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS key, doc_id, text FROM documents
+    UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), NULL, text FROM benchmark),
+split AS (
+    SELECT kind, key, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM words),
+items AS (SELECT key, w, least(10, len(w)) AS n FROM split WHERE kind = 'b' AND len(w) > 0 AND key IS NOT NULL),
+item_windows AS (
+    SELECT DISTINCT key, n, array_to_string(w[i : i + n - 1], ' ') AS words
+    FROM (SELECT key, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM items)),
+sizes AS (SELECT DISTINCT n FROM items),
+doc_windows AS (
+    SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS words
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM split, sizes WHERE kind = 'd' AND len(w) >= n)),
+found AS (SELECT d.doc_id, d.n, d.i, b.key FROM doc_windows d JOIN item_windows b USING (n, words)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(key, ',' ORDER BY key) AS items
+          FROM (SELECT DISTINCT doc_id, key FROM found) GROUP BY doc_id)
+SELECT s.doc_id, len(s.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM split s LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) WHERE s.kind = 'd'
+"""
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,9 +59,9 @@ def packs(texts: list[bytes], limit: int = PACK_BYTES) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of texts with a 0 byte before, between and after them, and each text's start (one more: the end)."""
-    data = np.frombuffer(b"\0" + b"\0".join(texts) + b"\0", np.uint8)
+def joined(texts: list[bytes], gap: bytes = b"\0") -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts with a gap byte before, between and after them, and each text's start (one more: the end)."""
+    data = np.frombuffer(gap + gap.join(texts) + gap, np.uint8)
     lengths = np.fromiter((len(x) + 1 for x in texts), np.int64, len(texts))
     starts = np.empty(len(texts) + 1, np.int64)
     starts[0] = 1
@@ -80,8 +80,9 @@ def table(word: bytes | range | list[int], lower: bool = True) -> np.ndarray:
 
 #: Word bytes for `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after lower-casing A-Z: digits, letters, everything beyond ASCII.
 ALNUM = table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
-#: Word bytes for `[^\x20\x09-\x0D]+` after lower-casing A-Z; the 0 byte is left out as it parts the texts of a pack.
+#: Word bytes for `[^\x20\x09-\x0D]+` after lower-casing A-Z; the 0 byte is written as 0xFF, which UTF-8 never uses.
 SPACED = table([b for b in range(1, 256) if b not in (0x20, *range(0x09, 0x0E))])
+SPACED[0] = 0xFF
 
 
 class Words:
@@ -92,7 +93,7 @@ class Words:
     """
 
     def __init__(self, texts: list[bytes], kinds: np.ndarray):
-        self.data, self.text_start = joined(texts)
+        self.data, self.text_start = joined(texts, b" ")
         self.canon = kinds[self.data]
         inside = (self.canon != 0).view(np.int8)
         edges = np.diff(inside)
@@ -156,11 +157,19 @@ def crc_rest(key: str, by: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(by)), F.lit(-1))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB in this session, so that memory does not follow the size of rows."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).removesuffix("b")) > 8 << 20:
+        spark.conf.set(name, str(8 << 20))
+
+
 def add_results(docs: DataFrame, text_at: int, start: Callable[[], Callable[[list[bytes]], list[list]]], ddl: str) -> DataFrame:
     """docs, its columns renamed c0, c1 ... by place (so that no name clashes), with the columns of ``ddl`` added.
 
     ``start`` is called once in a task and returns the function from the texts of a pack to lists of results by column.
     """
+    small_batches(docs.sparkSession)
     width = len(docs.columns)
     frame = docs.toDF(*(f"c{i}" for i in range(width)))
     added = T._parse_datatype_string(ddl)
