@@ -216,8 +216,8 @@ def _(b):
 
 
 @query("flag_valid_email", "customer_id seq email email_valido", f"""SELECT customer_id, seq,
-  lower({q.text('contact_email', 256)}) AS email,
-  CASE WHEN lower({q.text('contact_email', 256)}) LIKE '%_@_%.__%' THEN TRUE ELSE FALSE END AS email_valido
+  lower({q.text('contact_email')}) AS email,
+  CASE WHEN lower({q.text('contact_email')}) LIKE '%_@_%.__%' THEN TRUE ELSE FALSE END AS email_valido
 FROM b_customers""")
 def _(b):
     email = clean_email(F.col("contact_email"))
