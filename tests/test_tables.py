@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.contracts import CONTROL_SCHEMA, schema_of
+from starloom.functions.keys import attribute_hash, surrogate_key
 from starloom.operators import control
 from starloom.session import fresh_dir
 from starloom.sources import bronze
@@ -137,3 +138,21 @@ def test_watermark_leaves_the_buffer(spark):
     empty = log_rows(spark, 3).filter(F.lit(False))
     row = control.batch_watermark(marks, "silver", "t", empty, "r2", NOW).first()
     assert (row.last_loaded_at, row.rows_last_batch) == (NOW + timedelta(hours=14), 0)
+
+
+def test_many_batches_are_one_scan_and_a_key_is_one_row(spark):
+    table = KeyedTable(spark, fresh_dir(spark, "table"), ["k"])
+    for n in range(1, 9):
+        table.upsert(spark.createDataFrame([(n, "a"), (0, f"x{n}"), (0, f"y{n}")], "k int, v string").coalesce(1), n)
+    read = table.read()
+    assert {(r["k"], r["v"]) for r in read.collect()} == {*((n, "a") for n in range(1, 9)), (0, "y8")}
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    single = KeyedTable(spark, fresh_dir(spark, "table"), ["k"])
+    single.upsert(spark.createDataFrame([(0, "x"), (0, "y")], "k int, v string"), 1)
+    assert single.read().count() == 1
+
+
+def test_keys_of_long_parts_differ(spark):
+    rows = spark.createDataFrame([("a" * 400 + x,) for x in "bc"], "t string")
+    assert rows.select(surrogate_key(F.col("t"))).distinct().count() == 2
+    assert rows.select(attribute_hash(F.col("t"))).distinct().count() == 2
