@@ -92,8 +92,11 @@ def _(b):
   ON c.cliente_id = 'CUST-' || l.user_id""")
 def _(b):
     current = b.gold["cliente"].filter("es_version_vigente").select("cliente_id", "cliente_key")
-    rows = stream(b).withColumn("cliente_id", F.concat(F.lit("CUST-"), F.col("user_id").cast("string")))
-    return to_files(b, jobs.enrich(rows, [(current, "cliente_id", "cliente_key")]))
+    rows = stream(b, max_files=10).withColumn("cliente_id", F.concat(F.lit("CUST-"), F.col("user_id").cast("string")))
+    out = fresh_dir(b.spark, "enriched")
+    handle = jobs.enrich_to(out, lambda: [(current, "cliente_id", "cliente_key")])
+    finish(jobs.start_batches(rows, handle, out + "-checkpoint", every=None))
+    return b.spark.read.option("recursiveFileLookup", "true").parquet(out)
 
 
 @query("stream_op_counts", "window_start:t eventos_totales:i inserts:i updates:i deletes:i",

@@ -93,3 +93,20 @@ def test_enrich_gives_unknown_for_a_missing_master(spark):
     jobs.start_files(enriched, out, out + "-cp", None).awaitTermination()
     for r in spark.read.parquet(out).collect():
         assert r.dim_key == {"k1": 11, "k2": 22}.get(r.k, -1)
+
+
+def test_enrich_sees_a_dimension_that_changes_between_microbatches(spark):
+    root, out = landed(spark, events(20), 4), fresh_dir(spark, "out")
+    table, calls = KeyedTable(spark, fresh_dir(spark, "dim"), ["id"]), []
+
+    def read_dims():
+        calls.append(len(calls))
+        table.upsert(spark.createDataFrame([(f"k{i}", 100 + i) for i in range(8)][: 4 * len(calls)], "id string, dim_key bigint"), len(calls))
+        return [(table.read(), "id", "dim_key")]
+
+    stream = jobs.stream_bronze(spark, root, "log", 1, SCHEMA).withColumn("id", F.col("k"))
+    jobs.start_batches(stream, jobs.enrich_to(out, read_dims), out + "-cp", None).awaitTermination()
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(out).collect()
+    assert len(calls) == 4 and len(rows) == 20
+    assert any(r.dim_key >= 104 for r in rows)  # members published after the first microbatch
+    assert all(r.dim_key in (-1, 100 + int(r.k[1:])) for r in rows)
