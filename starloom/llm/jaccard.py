@@ -43,8 +43,9 @@ WORDS = 4
 PERCENT = 85
 SKETCH_BLOCK = 1024
 SET_BLOCK = 256
-#: Band keys that a pack of the shuffle holds about, and that a map task gathers before it deals them out.
-PACK_KEYS, GATHER_KEYS = 500_000, 500_000
+#: Band keys that a pack of the shuffle holds about, and that a map task gathers before it deals them out. Packs are small, so
+#: that near copies meet in a pack about once for each common band at every size of the corpus.
+PACK_KEYS, GATHER_KEYS = 100_000, 500_000
 
 
 def shingles(texts: list[bytes], n: int = WORDS) -> list[np.ndarray]:
