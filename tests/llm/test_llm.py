@@ -232,6 +232,23 @@ def test_repeated_strings_match_brute_force(docs, empty, block):
     assert suffixes.remove(empty).count() == 0
 
 
+def test_repeats_are_those_of_the_first_copy_in_any_order_of_rows(spark):
+    source = random.Random(17)
+    a, b, c, d = ("".join(source.choices("abcdefgh ", k=150)) for _ in range(4))
+    rows = [(9, a + "x" + b + "y" + c + "z" + c), (7, a + "x" + b + "y" + c + "z" + c), (5, "only " + b + d), (3, a + "x" + b + "y" + c + "z" + c), (1, "first " + a)]
+    seen, want = set(), {}
+    for i, text in sorted(rows):
+        gone = [False] * len(text)
+        for s in range(len(text) - 99):
+            if text[s : s + 100] in seen:
+                gone[s : s + 100] = [True] * 100
+            seen.add(text[s : s + 100])
+        want[i] = sum(gone)
+    for order in (rows, sorted(rows), [rows[k] for k in (1, 3, 0, 4, 2)]):
+        table = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        assert {r["doc_id"]: r["n_removed"] for r in suffixes.remove(table).collect()} == want
+
+
 def test_two_stage_sorting_orders_suffixes():
     for text in (b"banana", b"mississippi", b"aaaa", b"abab" * 9, bytes(random.choices(b"ab", k=200)), b"\0a\0\0b\0"):
         data = np.frombuffer(text + b"\0", np.uint8)
