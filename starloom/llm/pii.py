@@ -1,11 +1,13 @@
 """Personal data: patterns of known forms, and terms that give them away. Built-in functions only.
 
 Base spans are e-mail addresses, IPv4 addresses, payment cards (Luhn) and telephone numbers. The entities they name are
-protected; words near them may disclose that one follows. For each word in the ``reach`` code points before a base span
-the corpus tells how strongly it reveals the kind: of all its occurrences in all documents, the share that stand before
-such a span, against that share over all words. A word is disclosing when at least ``support`` different texts have it
-before a span of the kind, its share is at least ``share``, and the gain is at least ``bits`` bits. Its occurrences
-before spans of that kind become spans of kind ``term``; ``sanitise`` removes entities and generalises terms.
+protected; words near them may disclose them. For each word within ``reach`` code points before or after a base span the
+corpus tells how strongly it reveals the kind: of all its occurrences in all documents, the share that stand near such a
+span, against that share over all words. Places before spans, after spans and on either side are counted apart, as a word
+may have one side or both. A word is disclosing when, for one of the three, at least ``support`` different texts have it
+near a span of the kind, its share is at least ``share``, and the gain is at least ``bits`` bits. Every occurrence of a
+disclosing word outside base spans becomes a span of kind ``term``, wherever it stands and also in texts without any base
+span; ``sanitise`` removes entities and generalises terms.
 
 All counts cover all documents. Word counts are partially aggregated before they are shuffled, so frequent words cost
 one row per task; disclosing terms are joined by shuffle or, when measured to be small, by broadcast.
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.spans import matches, outside, settled, spans
+from starloom.llm.spans import SPAN, matches, outside, settled, spans
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns. Possessive quantifiers and look-around only save searching; they find the same leftmost matches. The
@@ -52,16 +54,46 @@ def base_spans(text: Column) -> Column:
 
 
 def context(text: Column, base: Column, reach: int) -> Column:
-    """Whole words in the reach before each base span, outside all spans: kind, term, start, end."""
+    """Whole words within reach before and after each base span, outside all spans: kind, side, term, start, end.
+
+    Each stands under its side (0 before, 1 after) and under 2 for either side, once for each kind.
+    """
     def near(s: Column) -> Column:
-        first = F.greatest(s["start"] - reach, F.lit(0))
-        words = matches(F.substring(text, first + 1, s["start"] - first), WORD)
-        whole = F.filter(words, lambda w: ((w["start"] > 0) | (first == 0)) & outside(first + w["start"], first + w["end"], base))
-        return F.transform(whole, lambda w: F.struct(s["kind"].alias("kind"), F.lower(w["match"]).alias("term"), (first + w["start"]).alias("start"), (first + w["end"]).alias("end")))
+        first, last = F.greatest(s["start"] - reach, F.lit(0)), F.least(s["end"] + reach, F.length(text))
+
+        def words(a: Column, b: Column, side: int) -> Column:
+            """Words between two places that go on neither before the first nor after the last place of the reach."""
+            whole = F.filter(matches(F.substring(text, a + 1, b - a), WORD), lambda w: (
+                ((a + w["start"] > first) | (first == 0)) & ((a + w["end"] < last) | (last == F.length(text))) & outside(a + w["start"], a + w["end"], base)))
+            return F.transform(whole, lambda w: F.struct(s["kind"].alias("kind"), F.lit(side).alias("side"), F.lower(w["match"]).alias("term"), (a + w["start"]).alias("start"), (a + w["end"]).alias("end")))
+
+        one = F.concat(words(first, s["start"], 0), words(s["end"], last, 1))
+        return F.concat(one, F.transform(one, lambda w: w.withField("side", F.lit(2))))
 
     return F.array_distinct(F.flatten(F.transform(base, near)))
 
 
+def words_of(text: Column) -> Column:
+    """All words of a text, in lower case."""
+    return F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.lower(w))
+
+
+def occurrences(text: Column, terms: Column, base: Column) -> Column:
+    """Spans of the words of a text that are among the terms and outside base spans; only these are gathered."""
+    pairs = F.zip_with(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD, -1), lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("gap")))
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        end = start + F.coalesce(F.length(x["m"]), F.lit(0))
+        one = F.struct(start.alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), end.alias("end"))
+        wanted = F.coalesce(F.array_contains(terms, F.lower(x["m"])), F.lit(False))
+        return F.struct(end.alias("at"), F.when(wanted, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+
+    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    return F.filter(placed, lambda s: outside(s["start"], s["end"], base))
+
+
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row per document: key, base (spans) and found (base and term spans)."""
     return annotate(docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1")), "c1", **how).select(F.col("c0").alias(id_col), "base", "found")
@@ -71,31 +103,30 @@ def annotate(docs: DataFrame, text_col: str, *, reach: int = 40, support: int =
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     kept = [F.col(c) for c in docs.columns if keep_text or c != text_col]
     first = docs.select(*kept, text.alias("_text"), base_spans(text).alias("base"))
-    near = F.when(F.size("base") > 0, context(F.col("_text"), F.col("base"), reach)).otherwise(F.array().cast("array<struct<kind: string, term: string, start: int, end: int>>"))
-    rows = settled(first.select(*kept, "base", near.alias("near"), F.struct(F.xxhash64("_text").alias("a"), F.length("_text").alias("b"), F.crc32("_text").alias("c")).alias("same")), "pii")
-    told = disclosing(docs.select(text.alias("text")), rows, support, share, bits)
-    # Rows without words near spans need no lookup. Rows of equal text share one key and get the same spans.
-    words = rows.where(F.size("near") > 0).select("same", F.explode("near").alias("w")).select("same", "w.*")
-    terms = words.distinct().join(told, ["kind", "term"], "left_semi").groupBy("same").agg(
-        F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), "end")).alias("more"))
-    quiet = rows.where(F.size("near") == 0).select(*kept, "base", F.array_sort("base").alias("found"))
-    loud = rows.where(F.size("near") > 0).join(terms, "same", "left").select(
-        *kept, "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start: int, rank: int, kind: string, end: int>>")))).alias("found"))
-    return quiet.unionByName(loud)
+    near = F.when(F.size("base") > 0, context(F.col("_text"), F.col("base"), reach)).otherwise(F.array().cast("array<struct<kind: string, side: int, term: string, start: int, end: int>>"))
+    rows = settled(first.select(*kept, *([] if keep_text else ["_text"]), "base", near.alias("near"),
+                                F.struct(F.xxhash64("_text").alias("a"), F.length("_text").alias("b"), F.crc32("_text").alias("c")).alias("same")), "pii")
+    text = text if keep_text else F.col("_text")
+    told = settled(disclosing(rows.select(text.alias("text")), rows, support, share, bits).select("term").distinct(), "pii-terms")
+    # Rows of equal text share one key and get the same spans. A written table's size is known, so few terms are broadcast.
+    words = rows.select("same", F.explode(F.array_distinct(words_of(text))).alias("term"))
+    terms = settled(words.join(told, "term", "left_semi").groupBy("same").agg(F.collect_set("term").alias("terms")), "pii-texts")
+    more = F.when(F.col("terms").isNotNull(), occurrences(text, F.col("terms"), F.col("base"))).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return rows.join(terms, "same", "left").select(*kept, "base", F.array_sort(F.concat("base", more)).alias("found"))
 
 
 def disclosing(texts: DataFrame, rows: DataFrame, support: int, share: float, bits: float) -> DataFrame:
-    """kind and term of the words that reveal a kind, with joint and total counts and the gain in bits."""
-    near = rows.where(F.size("near") > 0).select("same", F.explode("near").alias("w")).select("same", "w.kind", "w.term")
-    joint = (near.groupBy("kind", "term", "same").count().groupBy("kind", "term")
+    """kind, side and term of the words that reveal a kind, with joint and total counts and the gain in bits."""
+    near = rows.where(F.size("near") > 0).select("same", F.explode("near").alias("w")).select("same", "w.kind", "w.side", "w.term")
+    joint = (near.groupBy("kind", "side", "term", "same").count().groupBy("kind", "side", "term")
              .agg(F.sum("count").alias("joint"), F.count("*").alias("texts")))  # copies of a text support a word once
-    by_kind = joint.groupBy("kind").agg(F.sum("joint").alias("all_joint"))  # one row for each kind
-    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term")).groupBy("term").count()
+    by_kind = joint.groupBy("kind", "side").agg(F.sum("joint").alias("all_joint"))  # three rows for each kind
+    words = texts.select(F.explode(words_of(F.col("text"))).alias("term")).groupBy("term").count()
     totals = settled(words.select("term", F.col("count").alias("total")), "pii-words")
     corpus = totals.agg(F.sum("total").alias("corpus"))  # one row
     gain = F.log2(F.col("joint") / F.col("total") / (F.col("all_joint") / F.col("corpus")))
-    return (joint.where(F.col("texts") >= support).join(totals, "term").join(F.broadcast(by_kind), "kind").join(F.broadcast(corpus))
-            .where((F.col("joint") >= F.col("total") * share) & (gain >= bits)).select("kind", "term", "joint", "total", gain.alias("bits")))
+    return (joint.where(F.col("texts") >= support).join(totals, "term").join(F.broadcast(by_kind), ["kind", "side"]).join(F.broadcast(corpus))
+            .where((F.col("joint") >= F.col("total") * share) & (gain >= bits)).select("kind", "side", "term", "joint", "total", gain.alias("bits")))
 
 
 def sanitise(docs: DataFrame, *, text_col: str = "text", general: str = "[term]", **how) -> DataFrame:

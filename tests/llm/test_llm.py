@@ -215,6 +215,17 @@ def test_terms_that_disclose_an_entity_are_found(spark):
     assert "[term] [ip]" in cleaned and "Steuernummer" not in cleaned
 
 
+def test_disclosing_terms_are_found_wherever_they_stand(spark):
+    rows = [(i, f"{prose(8)} Steuernummer 10.{i}.2.3 Kennzahl, {prose(5)}") for i in range(30)] + [(100 + i, prose(20)) for i in range(200)]
+    rows += [(400, "STEUERNUMMER without any entity, not Steuernummern"), (401, f"10.9.9.9 {prose(30)} steuernummer and kennzahl."), (402, "ein Kennzahl@mail.example und Kennzahl")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["found"] for r in pii.scan(table).collect()}
+    for i, text in rows:
+        want = [(m.start(), m.end()) for m in re.finditer(r"(?i)\b(steuernummer|kennzahl)\b(?!@)", text)]
+        assert [(s["start"], s["end"]) for s in found[i] if s["kind"] == "term"] == want
+    assert pii.sanitise(table).where("lower(text) rlike 'steuernummer\\\\b|kennzahl'").count() == 0
+
+
 @pytest.mark.parametrize("block", [suffixes.BLOCK, 1])
 def test_repeated_strings_match_brute_force(docs, empty, block):
     order = sorted(((2**63 - 1 if i is None else i, int(hashlib.sha256((t or "").encode()).hexdigest()[:15], 16) & 0xFFFFFFFF), i, (t or "").encode()) for i, t in ROWS)
