@@ -14,10 +14,12 @@ A document's set holds the distinct hashes of its word n-grams. Two documents li
 3. Families. The members of a key's bucket meet under its smallest member, once for all their common keys. There the
    Hamming distance of the sketches, a lower bound of the symmetric difference, rules pairs out; what remains is
    reported as a spanning forest, never as pairs. Families are its components.
-4. Verification. A family's sets are compared exactly, again as forests; components of these are the result.
+4. Verification. All pairs of a family's sets are compared exactly. Links are counted for each set, weighted by the
+   documents that share a set; components of a spanning forest of the links are the result.
 
 Groups larger than a block are compared in block pairs of bounded size, spread over tasks. This computes
-all comparisons of a family but neither ships nor emits its pairs. No partner is dropped; nothing is sampled.
+all comparisons of a family but neither ships nor emits its pairs: each block pair gives a forest and partial sums of
+links. No partner is dropped; nothing is sampled.
 
 Defined results: null texts and texts without words have an empty set and link with nothing (component: their own id);
 equal texts link; a repeated row or id is a row of its own, in one component with its equal texts; a null id is never a
@@ -43,6 +45,8 @@ WORDS = 4
 PERCENT = 85
 SKETCH_BLOCK = 1024
 SET_BLOCK = 256
+#: N-grams whose sets are multiplied at once in an exact comparison.
+GRAM_BLOCK = 4096
 #: Band keys that a pack of the shuffle holds about, and that a map task gathers before it deals them out. Packs are small, so
 #: that near copies meet in a pack about once for each common band at every size of the corpus.
 PACK_KEYS, GATHER_KEYS = 100_000, 500_000
@@ -198,16 +202,14 @@ def led(sets: DataFrame) -> DataFrame:
     return each_group(dealt, ["pack"], meet, "leader long, code long").distinct()
 
 
-def linked(percent: int, exact: bool):
-    """Work on a block pair: edges of a spanning forest of the pairs that sketches (and sets, if exact) let through."""
-    bands = Bands(percent)
+def linked(percent: int):
+    """Work on a block pair: edges of a spanning forest of the pairs that sketches let through."""
 
     def work(group: pa.Table) -> list[pa.Array]:
         group = group.sort_by([("size", "ascending"), ("row", "ascending")])
         rows, size, mine = (group.column(c).to_numpy() for c in ("row", "size", "mine"))
         crossing = group.column("i")[0] != group.column("j")[0]
         sketches = folded(group.column("sketch").to_pylist())
-        sets = [np.frombuffer(x, np.uint64) for x in group.column("own").to_pylist()] if exact else None
         reach = np.searchsorted(size, size * 100 // percent, side="right")
         forest, out = Forest(len(rows)), []
         for a in range(len(rows) - 1):
@@ -216,30 +218,72 @@ def linked(percent: int, exact: bool):
                 other = other[mine[other] != mine[a]]
             apart = np.bitwise_count(sketches[other] ^ sketches[a]).sum(axis=1)
             for b in other[apart <= (size[other] + size[a]) * (100 - percent) // (100 + percent)].tolist():
-                if forest.root(a) == forest.root(b):
-                    continue
-                if exact:
-                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                    if 100 * both < percent * (size[a] + size[b] - both):
-                        continue
-                forest.join(a, b)
-                out.append((rows[a], rows[b]))
+                if forest.join(a, b):
+                    out.append((rows[a], rows[b]))
         return [pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())]
 
     return work
 
 
-def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = WORDS) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (the smallest id reachable by links)."""
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many n-grams each two sets have in common."""
+    size = [len(x) for x in sets]
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, gram, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    some = held[gram] > 1  # an n-gram of one set only is shared by no pair
+    owner, gram = owner[some], gram[some]
+    order = np.argsort(gram, kind="stable")
+    owner, gram = owner[order], np.cumsum(np.diff(gram[order], prepend=gram[order][:1]) > 0)
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    bounds = np.searchsorted(gram, np.arange(0, (gram[-1] if len(gram) else -1) + GRAM_BLOCK + 1, GRAM_BLOCK))
+    for a, b in zip(bounds, bounds[1:]):
+        part = np.zeros((len(sets), GRAM_BLOCK), np.float32)
+        part[owner[a:b], gram[a:b] % GRAM_BLOCK] = 1
+        out += (part @ part.T).astype(np.int64)  # exact: far below 2^24
+    return out
+
+
+def verified(percent: int):
+    """Work on a block pair: edges (a, b) of a spanning forest of its links, and (a, a, documents linked with a by them)."""
+
+    def work(group: pa.Table) -> list[pa.Array]:
+        rows, size, mine, copies = (group.column(c).to_numpy() for c in ("row", "size", "mine", "copies"))
+        both = shared([np.frombuffer(x, np.uint64) for x in group.column("own").to_pylist()])
+        link = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        np.fill_diagonal(link, False)
+        if group.column("i")[0] != group.column("j")[0]:
+            link &= mine[:, None] != mine[None, :]
+        n_links, left, edges = link @ copies, np.ones(len(rows), bool), []
+        for start in range(len(rows)):
+            waiting = [start] if left[start] else []
+            left[start] = False
+            while waiting:
+                a = waiting.pop()
+                new = np.flatnonzero(link[a] & left)
+                left[new] = False
+                edges.append(np.stack((np.full(len(new), rows[a]), rows[new])))
+                waiting += new.tolist()
+        a, b = np.concatenate(edges, axis=1)
+        some = np.flatnonzero(n_links)
+        return [pa.array(np.concatenate((a, rows[some]))), pa.array(np.concatenate((b, rows[some]))), pa.array(np.concatenate((np.zeros(len(a), np.int64), n_links[some])))]
+
+    return work
+
+
+def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = WORDS, links: bool = False) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (the smallest id reachable by links).
+
+    With ``links`` also n_links, the number of other documents (rows) that it links with directly, equal texts included.
+    """
     small_batches(docs.sparkSession)
     sets = read_sets(docs, id_col, text_col, percent, n)
     # One row for each set: its first row stands for it.
-    one = settled(sets.groupBy("digest").agg(F.min_by(F.struct("row", "id", "size", "code", "sketch"), "row").alias("s")).select("digest", "s.*"), "distinct-sets")
+    one = settled(sets.groupBy("digest").agg(F.min_by(F.struct("row", "id", "size", "code", "sketch"), "row").alias("s"), F.count("*").alias("copies")).select("digest", "s.*", "copies"), "distinct-sets")
     met = in_blocks(settled(led(sets), "candidates"), "leader", "code", SKETCH_BLOCK).join(one.select("code", "row", "size", "sketch"), "code")
-    near = each_group(met, ["leader", "i", "j"], linked(percent, False), "a long, b long")
+    near = each_group(met, ["leader", "i", "j"], linked(percent), "a long, b long")
     family = components(near)
-    members = settled(family.join(one.select(F.col("row").alias("id"), F.col("id").alias("doc"), "digest", "size", "sketch"), "id")
-                      .select("label", F.col("id").alias("row"), "doc", "digest", "size", "sketch"), "families")
+    members = settled(family.join(one.select(F.col("row").alias("id"), F.col("id").alias("doc"), "digest", "size", "copies"), "id")
+                      .select("label", F.col("id").alias("row"), "doc", "digest", "size", "copies"), "families")
 
     def exact_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,14 +298,16 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     wanted = members.select(F.coalesce("doc", F.lit(-1)).alias("doc")).distinct()
     texts = docs.select(key.alias("doc"), F.col(text_col).cast("string").alias("text")).join(wanted, "doc", "left_semi")
     own = texts.mapInArrow(exact_set, "doc long, digest string, own binary").groupBy("digest").agg(F.first("own").alias("own"))
-    full = in_blocks(members.select("label", "row", "digest", "size", "sketch"), "label", "row", SET_BLOCK).join(own, "digest")
-    links = each_group(full, ["label", "i", "j"], linked(percent, True), "a long, b long")
-    label = components(links)
-    placed = one.select("digest", "row", "size").join(label.withColumnRenamed("id", "row"), "row", "left")
-    placed = placed.select("digest", F.when(F.col("size") > 0, F.coalesce("label", "row")).alias("component"))
-    rows = sets.select("row", "id", "size", "digest").join(placed, "digest").select("id", "size", F.coalesce("component", -F.col("row") - 1).alias("component"))
+    full = in_blocks(members.select("label", "row", "digest", "size", "copies"), "label", "row", SET_BLOCK).join(own, "digest")
+    found = settled(each_group(full, ["label", "i", "j"], verified(percent), "a long, b long, n long"), "links")
+    label = components(found)
+    direct = found.where("a = b").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("n"))
+    placed = one.select("digest", "row", "size", "copies").join(label.withColumnRenamed("id", "row"), "row", "left").join(direct, "row", "left")
+    placed = placed.select("digest", F.when(F.col("size") > 0, F.coalesce("label", "row")).alias("component"),
+                           F.when(F.col("size") > 0, F.col("copies") - 1 + F.coalesce("n", F.lit(0))).otherwise(0).alias("n_links"))
+    rows = sets.select("row", "id", "size", "digest").join(placed, "digest").select("id", "size", "n_links", F.coalesce("component", -F.col("row") - 1).alias("component"))
     least = rows.groupBy("component").agg(F.min("id").alias("component_id"))
-    return rows.join(least, "component").select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
+    return rows.join(least, "component").select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id", *(["n_links"] if links else []))
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = WORDS) -> DataFrame:

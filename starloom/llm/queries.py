@@ -101,7 +101,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(read(spark, sf_dir, "documents"))
+    return jaccard.join(read(spark, sf_dir, "documents"), links=True)
 
 
 @query

@@ -142,6 +142,21 @@ def test_jaccard_finds_every_link_of_random_near_copies(spark, monkeypatch):
     assert len(set(roots)) < len(texts)
 
 
+@pytest.mark.parametrize("block", [4, 256])
+def test_jaccard_counts_every_link(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "SET_BLOCK", block)
+    monkeypatch.setattr(jaccard, "GRAM_BLOCK", 16 * block)
+    source = random.Random(23)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join("e" if source.random() < 0.015 else w for w in base) for _ in range(25)]
+    rows = [(i, t) for i, t in ROWS] + [(500 + i, t) for i, t in enumerate(texts)] + [(600, texts[0]), (500, texts[0])]
+    sets = [shingles_of(t, 4) for _, t in rows]
+    want = [(i, sum(1 for b, y in enumerate(sets) if a != b and x and y and 100 * len(x & y) >= 85 * len(x | y))) for a, ((i, _), x) in enumerate(zip(rows, sets))]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), links=True)
+    assert Counter((r["doc_id"], r["n_links"]) for r in got.collect()) == Counter(want)
+    assert sum(n for _, n in want) > 4 * 25  # more than a spanning tree
+
+
 def test_bands_meet_for_every_linked_pair():
     bands, numbers = jaccard.Bands(85), np.random.default_rng(1)
     for n in (6, 12, 13, 37, 200, 1500):
