@@ -1,8 +1,9 @@
 """Secret scans: patterns of known forms, and a randomness test battery for unknown ones. Built-in functions only.
 
 Base spans are assignments, access keys and long hexadecimal strings. Beyond these, every run of 20 or more characters
-of an encoding alphabet is a candidate. Its encoding (hexadecimal, base 32, base 64) is inferred from the characters
-it uses. The battery asks whether it looks drawn at random from that alphabet:
+of an encoding alphabet is a candidate, and so is every piece of it of 20 or more characters between + and /, between
+- and _, or between any of these signs, as keys may be glued to paths and prefixes. A candidate's encoding (hexadecimal of
+one or both cases, base 32, base 64, or all 66 symbols) is inferred from the characters it uses. The battery asks whether it looks drawn at random from that alphabet:
 
 - chi-squared uniformity over the alphabet, as a normal deviate (Wilson and Hilferty);
 - the number of runs of symbols in the lower and upper half of the alphabet;
@@ -11,7 +12,8 @@ it uses. The battery asks whether it looks drawn at random from that alphabet:
 A candidate that deviates by more than ``deviate`` in one of them is not random. For the others the null hypothesis is
 "ordinary text": lower-case letters, capitals, digits and signs as often as in all documents. The ratio of the likelihoods (uniform alphabet to ordinary) has mean 1 under it, so its inverse is a valid p-value that shrinks
 with length. Candidates are accepted by the Benjamini-Hochberg rule at rate ``rate`` within each band of lengths; p-values
-are counted in steps of a tenth of a decade, rounded upwards, so the rule needs only a small table of counts.
+are counted in steps of a tenth of a decade, rounded upwards, so the rule needs only a small table of counts. Runs and
+pieces count as tests of their own; of accepted ones only those within no other are reported.
 
 Defined results: a null text is empty and has no spans; repeated rows give equal rows; candidates that overlap a base
 span are not reported again; an empty table gives an empty result; only key and text are read.
@@ -31,15 +33,19 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+#: Pieces of a candidate between + and /, between - and _, and between all four signs.
+PIECES = tuple(f"(?<![{c}])[{c}]{{20,}}={{0,2}}" for c in ("A-Za-z0-9_-", "A-Za-z0-9+/", "A-Za-z0-9"))
 KINDS = ("assign", "access", "hex")
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: name, what all characters must be, the alphabet in order.
 ENCODINGS = (
     ("hex", r"^[0-9a-f]+$", DIGITS + LOWER[:6]),
     ("hexupper", r"^[0-9A-F]+$", DIGITS + UPPER[:6]),
+    ("hexmixed", r"^[0-9a-fA-F]+$", DIGITS + LOWER[:6]),
     ("base32", r"^[A-Z2-7]+$", UPPER + DIGITS[2:8]),
     ("base64", r"^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
     ("base64url", r"^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
+    ("signs", r"^[A-Za-z0-9+/_-]+$", UPPER + LOWER + DIGITS + "+/-_"),
 )
 SYMBOLS = UPPER + LOWER + DIGITS + "+/-_"
 #: Classes of symbols as a pattern and one by one.
@@ -58,8 +64,11 @@ def base_spans(text: Column) -> Column:
 def tested(token: Column, deviate: float) -> Column:
     """(alphabet size, whether the battery finds nothing against randomness) of a token without padding; size 0: no encoding."""
     result = F.struct(F.lit(0).alias("size"), F.lit(False).alias("random"))
-    for _, form, alphabet in reversed(ENCODINGS):
-        result = F.when(token.rlike(form), F.struct(F.lit(len(alphabet)).alias("size"), battery(token, alphabet, deviate).alias("random"))).otherwise(result)
+    for name, form, alphabet in reversed(ENCODINGS):
+        # Hexadecimal of both cases is uniform without case; no symbol is rarer than one in 32, a bound that keeps p-values valid.
+        mixed = name == "hexmixed"
+        random = battery(F.lower(token) if mixed else token, alphabet, deviate)
+        result = F.when(token.rlike(form), F.struct(F.lit(len(alphabet) * (2 if mixed else 1)).alias("size"), random.alias("random"))).otherwise(result)
     return result
 
 
@@ -85,8 +94,8 @@ def battery(token: Column, alphabet: str, deviate: float) -> Column:
 
 
 def candidates(text: Column, base: Column, deviate: float) -> Column:
-    """Candidates outside base spans: start, end, token, alphabet size, random."""
-    found = F.filter(matches(text, CANDIDATE), lambda m: outside(m["start"], m["end"], base))
+    """Candidates outside base spans, runs and their pieces: start, end, token, alphabet size, random."""
+    found = F.filter(F.array_distinct(F.concat(*(matches(text, p) for p in (CANDIDATE, *PIECES)))), lambda m: outside(m["start"], m["end"], base))
     bare = F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.rtrim(m["match"], F.lit("=")).alias("token")))
     return F.transform(bare, lambda m: F.struct(m["start"], m["end"], m["token"], tested(m["token"], deviate).alias("test")))
 
@@ -109,7 +118,9 @@ def annotate(docs: DataFrame, text_col: str, rate: float, deviate: float, keep_t
     used = F.struct(*(F.length(F.regexp_replace("_text", f"[^{c}]+", "")).cast("long").alias(f"n{i}") for i, (c, _) in enumerate(CLASSES)))
     rows = settled(first.select(*kept, "base", candidates(F.col("_text"), F.col("base"), deviate).alias("tokens"), used.alias("used")), "secrets")
     accepted = thresholds(rows, rate)
-    found = F.filter("tokens", lambda t: t["test"]["random"] & accepted(t))
+    hits = F.filter("tokens", lambda t: t["test"]["random"] & accepted(t))
+    wider = lambda o, t: (o["start"] <= t["start"]) & (o["end"] >= t["end"]) & (o["end"] - o["start"] > t["end"] - t["start"])
+    found = F.transform(F.array(hits), lambda own: F.filter(own, lambda t: ~F.exists(own, lambda o: wider(o, t))))[0]
     return rows.select(*kept, "base", F.array_sort(F.concat("base", spans(found, len(KINDS), "random"))).alias("found"))
 
 

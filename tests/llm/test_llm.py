@@ -220,6 +220,20 @@ def test_random_tokens_are_found_and_words_are_not(docs):
     assert masked.where("doc_id = 17").first()["text"] == TEXTS[17]
 
 
+def test_keys_glued_to_text_by_signs_are_found(spark):
+    source = random.Random(31)
+    draw = lambda symbols, n: "".join(source.choice(symbols) for _ in range(n))
+    keys = {1: draw(secret_scan.SYMBOLS[:62], 40), 2: draw(secret_scan.SYMBOLS[:62], 24) + "+" + draw(secret_scan.SYMBOLS[:62], 24) + "/x9"}
+    keys[3] = "".join(source.choice((c, c.upper())) for c in draw("0123456789abcdef", 64))
+    texts = {1: f"get /api/v1/my-app/users/{keys[1]} now", 2: f"use live_{keys[2]} here", 3: f"sum {keys[3]} of"}
+    plain = [(10 + i, "see /usr/share/some-package/other_files/documentation/index-of-everything and ordinary words of a text " * 3) for i in range(60)]
+    found = {r["doc_id"]: r["found"] for r in secret_scan.scan(spark.createDataFrame([*texts.items(), *plain], "doc_id long, text string")).collect()}
+    for i, text in texts.items():
+        own = [text[s["start"] : s["end"]] for s in found[i] if s["kind"] == "random"]
+        assert any(keys[i] in x for x in own), (i, own)
+    assert not [s for i, own in found.items() if i >= 10 for s in own]
+
+
 def test_terms_that_disclose_an_entity_are_found(spark):
     rows = [(i, f"{prose(8)} Steuernummer 10.{i}.2.3 {prose(5)}") for i in range(30)] + [(100 + i, prose(20)) for i in range(200)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
