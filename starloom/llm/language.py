@@ -6,8 +6,8 @@ stochastic subgradient steps on the hinge loss, first tell the families apart an
 chosen. Votes of a step are shares of logistic margins; the score is the product of the two steps' shares.
 
 ``families`` maps a language value to its family; a language that it does not name is a family of its own. Training
-takes up to ``per_language`` rows of each language value, chosen by the hash of their key, from at most
-``max_languages`` values (those with most rows); both are documented bounds of the fitting sample.
+knows every language value. It takes up to ``per_language`` rows of each, chosen by the hash of their key, and fewer of
+each (at least one) where there are so many values that the sample would exceed ``sample_rows``.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; if nothing can be learnt (no row with
 text and language) every text is ``und``; with one language learnt every other text gets it; equal votes go to the
@@ -22,10 +22,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.scan import add_results, ngram_counts, packs, table, texts_of
+from starloom.llm.spans import settled
 
 #: Families of language codes.
 FAMILIES = {
@@ -34,7 +35,7 @@ FAMILIES = {
     "ru": "slavic", "pl": "slavic", "cs": "slavic", "uk": "slavic", "bg": "slavic", "sk": "slavic",
 }
 PER_LANGUAGE = 800
-MAX_LANGUAGES = 60
+SAMPLE_ROWS = 48_000
 BUCKETS = 4096
 ORDERS = (1, 2, 3, 4)
 LETTERS = table([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
@@ -120,25 +121,23 @@ def has_letter(text: bytes) -> bool:
 
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train: Column | None = None,
-        families: dict[str, str] = FAMILIES, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES,
+        families: dict[str, str] = FAMILIES, per_language: int = PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS,
         buckets: int = BUCKETS) -> Model:
     """Learn from a bounded sample of rows with text and language."""
     ready = docs.where((F.lit(True) if train is None else train) & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     ready = ready.select(F.col(id_col).cast("string").alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counts = ready.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not counts:
+    counts = settled(ready.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    values = counts.count()
+    if not values:
         return Model(buckets)
-    # A row's chance of being in the first per_language by hash of its key shrinks with the language's rows: a filter on
-    # the hash keeps about 4 times as many before the exact choice, so no task sorts a whole language.
+    # A row's chance of being in the first rows by hash of its key shrinks with the language's rows: a filter on the hash
+    # keeps about 4 times as many (and never few) before the exact choice, so no task sorts a whole language.
+    each = max(1, min(per_language, sample_rows // values))
     spread, span = F.pmod(F.xxhash64("key", "lang"), F.lit(1 << 30)), 1 << 30
-    few = F.lit(False)
-    for r in counts:
-        few = few | ((F.col("lang") == r["lang"]) & (spread < int(span * min(1.0, 4 * per_language / r["count"]))))
-    sides = [ready.where(few & (F.col("lang") == r["lang"])).select("key", "lang", "text", spread.alias("h"), F.xxhash64("text").alias("t"))
-             .orderBy("h", "key", "t").limit(per_language).select("lang", "key", "text") for r in counts]
-    rows = sides[0]
-    for side in sides[1:]:
-        rows = rows.union(side)
+    near = ready.join(F.broadcast(counts), "lang").where(spread < F.least(F.lit(1.0), F.lit(4.0 * max(each, 20)) / F.col("n")) * span)
+    order = Window.partitionBy("lang").orderBy("h", "key", "t")
+    near = near.select("lang", "key", "text", spread.alias("h"), F.xxhash64("text").alias("t"))
+    rows = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).select("lang", "key", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

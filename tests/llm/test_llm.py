@@ -345,6 +345,16 @@ def test_language_on_held_out_documents(spark, docs, empty):
     assert {r["lang_pred"] for r in language.predict(docs, language.fit(empty)).collect()} == {"und"}
 
 
+def test_every_language_value_is_learnt(spark):
+    rows = [(10 * i + k, f"l{i}", f"{chr(97 + i // 26) * 2}q{chr(97 + i % 26) * 3} " * (5 + k)) for i in range(64) for k in range(4 - (i > 60))]
+    table = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    for how in ({}, {"sample_rows": 128}):
+        model = language.fit(table, buckets=1024, **how)
+        assert {c for votes in model.within.values() for c in votes.classes} == {f"l{i}" for i in range(64)}
+    got = language.predict(table, language.fit(table, buckets=1024)).join(table.select("doc_id", "lang"), "doc_id")
+    assert got.where("lang in ('l61', 'l62', 'l63') and lang = lang_pred").count() == 9
+
+
 def test_quality_and_toxicity_on_held_out_documents(spark):
     table, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     for operator, column, by, rest, bar in ((toxicity, "toxic", 5, 0, 0.5), (quality, "quality", 4, 2, 0.7)):
