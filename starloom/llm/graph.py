@@ -73,6 +73,24 @@ def components(edges: DataFrame) -> DataFrame:
         now = settled(contracted(small).distinct(), "edges")
 
 
+HOT_KEYS = 1000
+
+
+def join_hot(rows: DataFrame, one: DataFrame, key: str, counts: DataFrame | None = None) -> DataFrame:
+    """rows joined with ``one``, which has one row per key; keys that hold over a thousandth of the rows are not shuffled.
+
+    There are fewer than ``HOT_KEYS`` such keys, so their part of ``one`` is broadcast. ``counts`` gives the rows by key
+    (key, copies) where they are known.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("copies")) if counts is None else counts
+    total = counts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    often = [r[0] for r in counts.where(F.col("copies") * HOT_KEYS > F.lit(total)).where(F.col(key).isNotNull()).select(key).collect()]
+    if not often:
+        return rows.join(one, key)
+    hot = F.coalesce(F.col(key).isin(often), F.lit(False))
+    return rows.where(hot).join(F.broadcast(one.where(hot)), key).unionByName(rows.where(~hot).join(one.where(~hot), key))
+
+
 def in_blocks(rows: DataFrame, group: str, key: str, block: int) -> DataFrame:
     """rows with the columns ``i`` and ``j``, copied so that each pair of rows of a group meets in a block pair.
 
