@@ -121,18 +121,20 @@ def dedup_normalised(df: DataFrame, key: str, columns: Sequence[str],
     A row some reference frame (one key column each) points to is kept even as a duplicate, and so is a row with a NULL
     among ``columns``, which equals no other.
     """
+    known = _all_known(columns)
     normal = [F.upper(F.trim(F.col(c).cast("string"))) for c in columns]
-    marked = df.withColumn("_norm", F.struct(*[n.alias(f"n{i}") for i, n in enumerate(normal)]))
+    marked = df.filter(known).withColumn("_norm", F.struct(*[n.alias(f"n{i}") for i, n in enumerate(normal)]))
     first = marked.groupBy(F.col("_norm").alias("_n")).agg(F.min(key).alias("_first_key"))
-    joined = marked.join(first, F.col("_norm").eqNullSafe(F.col("_n")), "inner").drop("_norm", "_n")
-    stays = (F.col(key) == F.col("_first_key")) | ~_all_known(columns)
+    joined = marked.join(first, F.col("_norm") == F.col("_n"), "inner").drop("_norm", "_n")
+    stays = F.col(key) == F.col("_first_key")
     if not references:
-        return joined.filter(stays).drop("_first_key")
+        return joined.filter(stays).drop("_first_key").unionByName(df.filter(~known))
     used = None
     for ref in references:
         one = ref.select(F.col(ref.columns[0]).alias("_ref")).distinct()
         used = one if used is None else used.unionByName(one)
     used = used.distinct()
-    return (joined.join(used, F.col(key) == F.col("_ref"), "left")
+    kept = (joined.join(used, F.col(key) == F.col("_ref"), "left")
             .filter(stays | F.col("_ref").isNotNull())
             .drop("_first_key", "_ref"))
+    return kept.unionByName(df.filter(~known))

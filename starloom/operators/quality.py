@@ -1,7 +1,7 @@
 """Data-quality rules.
 
-A rule names its table, column and severity and finds the rows that break it. ``run_suite`` evaluates
-many rules: all row-level rules of a table share one scan and one aggregate, however many there are.
+A rule names its table, column and severity and finds the rows that break it. ``run_suite`` evaluates many rules with
+one scan of each table and one shuffle, however many there are; ``store_failures`` keeps what broke them.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starloom.contracts import QUALITY_LOG_SCHEMA
@@ -19,6 +19,7 @@ from starloom.operators.joins import overlaps
 ERROR, WARN = "error", "warn"
 
 
+ROW_LEVEL = ("not_null", "accepted_values", "not_accepted_values", "range")
 TABLE_LEVEL = ("unique", "unique_combination", "relationship")
 
 
@@ -104,58 +105,128 @@ def no_overlap(dim: DataFrame, natural: str, unknown: str = "-1") -> DataFrame:
     return overlaps(versions, ["clave_natural"], "valido_desde", "valido_hasta")
 
 
-def _row_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(index, failed rows, sample value) per row-level rule, from one aggregate over the table."""
-    bad = [breaks(r.kind, F.col(r.column), r.args) for r in rules]
-    counts = df.agg(*[c for i, (r, b) in enumerate(zip(rules, bad))
-                      for c in (F.count_if(b).alias(f"n{i}"),
-                                F.min(F.when(b, F.col(r.column).cast("string"))).alias(f"s{i}"))])
-    return counts.select(F.explode(F.array(*[
-        F.struct(F.lit(r.table).alias("entity_name"), F.lit(r.name).alias("test_name"),
-                 F.col(f"n{i}").alias("failed_rows"), F.col(f"s{i}").alias("sample_value"))
-        for i, r in enumerate(rules)])).alias("x")).select("x.*")
-
-
-def _group_result(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
-    df = tables[rule.table]
-    if rule.kind in ("unique", "unique_combination"):
-        # A combination counts NULL as a value; a single key leaves it to not_null.
-        failing = unique(df, rule.columns, ignore_null=rule.kind == "unique")
-        value, failed = F.concat_ws("|", *rule.columns), F.count("*")
-    elif rule.kind == "relationship":
-        # Counted per value before the join: a frequent value is one row of it.
-        parent = tables[rule.args["to"]].select(F.col(rule.args["field"]).alias("value"))
-        failing = (df.filter(F.col(rule.column).isNotNull()).groupBy(F.col(rule.column).alias("value"))
-                   .agg(F.count("*").alias("rows")).join(parent, "value", "left_anti"))
-        value, failed = F.col("value").cast("string"), F.coalesce(F.sum("rows"), F.lit(0))
-    else:
-        raise ValueError(f"unknown rule kind: {rule.kind}")
-    return failing.agg(failed.alias("failed_rows"), F.min(value).alias("sample_value")).select(
-        F.lit(rule.table).alias("entity_name"), F.lit(rule.name).alias("test_name"), "failed_rows", "sample_value")
+def _note(rule: int, value: Column, sample: Column | None = None, failed: int = 0, rows: int = 0, known: int = 0) -> Column:
+    """What a row says about a rule: the value it is about, its text for the log, and whether it fails by itself, carries
+    the value, or knows it as a parent."""
+    counts = [F.lit(n).cast("bigint").alias(name) for n, name in ((failed, "failed"), (rows, "rows"), (known, "known"))]
+    return F.struct(F.lit(rule).alias("rule"), value.cast("string").alias("value"),
+                    (value if sample is None else sample).cast("string").alias("sample"), *counts)
+
+
+def _notes(table: str, rules: Sequence[Rule]) -> list[Column]:
+    """What each row of a table says about the rules: on itself, on its keys, and as a parent of other tables' rows."""
+    notes = []
+    for i, r in enumerate(rules):
+        c = F.col(r.column)
+        if r.kind == "relationship":
+            if r.table == table:
+                notes.append(F.when(c.isNotNull(), _note(i, c, rows=1)))
+            if r.args["to"] == table:
+                parent = F.col(r.args["field"])
+                notes.append(F.when(parent.isNotNull(), _note(i, parent, known=1)))
+        elif r.table != table:
+            continue
+        elif r.kind == "unique":
+            notes.append(F.when(c.isNotNull(), _note(i, c, rows=1)))
+        elif r.kind == "unique_combination":  # NULL counts as a value here
+            whole = F.to_json(F.array(*[F.col(x).cast("string") for x in r.columns]))
+            notes.append(_note(i, whole, F.concat_ws("|", *r.columns), rows=1))
+        else:
+            notes.append(F.when(breaks(r.kind, c, r.args), _note(i, c, failed=1)))
+    return notes
+
+
+def _check_tables(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> None:
+    """A rule whose table is missing is an error, not a pass."""
+    for rule in rules:
+        if rule.kind not in ROW_LEVEL and rule.kind not in TABLE_LEVEL:
+            raise ValueError(f"unknown rule kind: {rule.kind}")
+        for needed in {rule.table, rule.args.get("to", rule.table)}:
+            if needed not in tables:
+                raise KeyError(f"{rule.name}: table {needed} is missing")
+
+
+def _value_verdicts(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """(rule, value, sample, failed) of every value that breaks a rule; ``failed`` counts rows, for unique rules groups.
+
+    Each table is scanned once, whatever rules use it: its rows say what they have to say about all of them, partial
+    counts by (rule, value) are taken before the only shuffle, and children meet their parents' keys there without a join.
+    """
+    stacked = None
+    for table in dict.fromkeys(t for r in rules for t in (r.table, r.args.get("to", r.table))):
+        one = tables[table].select(F.explode(F.array_compact(F.array(*_notes(table, rules)))).alias("x")).select("x.*")
+        stacked = one if stacked is None else stacked.unionByName(one)
+    met = stacked.groupBy("rule", "value").agg(F.min("sample").alias("sample"), *[F.sum(c).alias(c) for c in ("failed", "rows", "known")])
+    numbers = {kind: [i for i, r in enumerate(rules) if r.kind in kind] for kind in (("unique", "unique_combination"), ("relationship",))}
+    twice, child = (F.col("rule").isin(n) for n in numbers.values())
+    failed = (F.when(twice, F.when(F.col("rows") > 1, 1).otherwise(0))
+              .when(child, F.when(F.col("known") == 0, F.col("rows")).otherwise(0)).otherwise(F.col("failed")))
+    return met.select("rule", "value", "sample", failed.cast("bigint").alias("failed")).filter("failed > 0")
 
 
 def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """Result of every rule: layer, entity, test, severity, failed rows and a sample value.
+    """Result of every rule: layer, entity, test, severity, failed rows and a sample value."""
+    _check_tables(tables, rules)
+    counts = _value_verdicts(tables, rules).groupBy("rule").agg(F.sum("failed").alias("failed_rows"), F.min("sample").alias("sample_value"))
+    facts = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(r.layer).alias("layer_name"), F.lit(r.table).alias("entity_name"),
+                               F.lit(r.name).alias("test_name"), F.lit(r.severity).alias("severity")) for i, r in enumerate(rules)])
+    spark = next(iter(tables.values())).sparkSession
+    declared = spark.range(0, 1, 1, 1).select(F.explode(facts).alias("x")).select("x.*")
+    return declared.join(counts, "rule", "left").select(
+        "layer_name", "entity_name", "test_name", "severity", F.coalesce("failed_rows", F.lit(0)).alias("failed_rows"), "sample_value")
+
 
-    A rule whose table is missing is an error, not a pass.
+def tag_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows with the names of the row-level rules they break in ``_broken``, an array."""
+    broken = [F.when(breaks(r.kind, F.col(r.column), r.args), F.lit(r.name)) for r in rules if r.kind in ROW_LEVEL]
+    none = F.array().cast("array<string>")
+    return df.withColumn("_broken", F.array_compact(F.array(*broken)) if broken else none)
+
+
+def failing_rows(df: DataFrame, rules: Sequence[Rule], key: str, run_id: str, counts: Observation | None = None) -> DataFrame:
+    """The rows of one table that break row-level rules, as they are stored: run, table, key, rules broken, the row as JSON.
+
+    ``counts`` observes, in the same scan, the rows read and the failures by rule (columns ``rows`` and ``r0``, ``r1`` ... in
+    the order of the row-level rules), so counting costs no second pass.
     """
-    for rule in rules:
-        for needed in {rule.table, rule.args.get("to", rule.table)}:
-            if needed not in tables:
-                raise KeyError(f"{rule.name}: table {needed} is missing")
-    parts = []
+    own = [r for r in rules if r.kind in ROW_LEVEL]
+    tagged = tag_rows(df, own)
+    if counts is not None:
+        tagged = tagged.observe(counts, F.count("*").alias("rows"), *[
+            F.count_if(F.array_contains("_broken", r.name)).alias(f"r{i}") for i, r in enumerate(own)])
+    row = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    return tagged.filter(F.size("_broken") > 0).select(
+        F.lit(run_id).alias("run_id"), F.lit(own[0].table if own else None).cast("string").alias("entity_name"),
+        F.col(key).cast("string").alias("row_key"), F.col("_broken").alias("rules"), row.alias("row"))
+
+
+def failing_values(tables: Mapping[str, DataFrame], rules: Sequence[Rule], run_id: str) -> DataFrame:
+    """The values that break unique and relationship rules, as they are stored: run, table, rule, value, failures."""
+    _check_tables(tables, rules)
+    own = [r for r in rules if r.kind in TABLE_LEVEL]
+    names = F.array(*[F.struct(F.lit(r.table).alias("t"), F.lit(r.name).alias("n")) for r in own])
+    fact = F.element_at(names, F.col("rule") + 1)
+    return _value_verdicts(tables, own).select(F.lit(run_id).alias("run_id"), fact["t"].alias("entity_name"), fact["n"].alias("test_name"),
+                                               F.col("sample").alias("value"), F.col("failed").alias("failed_rows"))
+
+
+def store_failures(tables: Mapping[str, DataFrame], rules: Sequence[Rule], keys: Mapping[str, str], path: str, run_id: str) -> dict[str, int]:
+    """Write the failing rows of every table and the failing values of the rules between rows; give the failures by row-level rule.
+
+    Each run has its own folder (``rows/run=.../table=...`` and ``values/run=...``), so a repeated run replaces what it wrote.
+    The counts are observed while the rows are written; they are bounded by the number of rules.
+    """
+    found = {}
     for table in dict.fromkeys(r.table for r in rules):
-        row_level = [r for r in rules if r.table == table and r.kind not in TABLE_LEVEL]
-        if row_level:
-            parts.append(_row_results(tables[table], row_level))
-    parts += [_group_result(r, tables) for r in rules if r.kind in TABLE_LEVEL]
-    results = parts[0]
-    for p in parts[1:]:
-        results = results.unionByName(p)
-    facts = F.create_map(*[x for r in rules for x in (
-        F.lit(r.name), F.struct(F.lit(r.layer).alias("layer_name"), F.lit(r.severity).alias("severity")))])
-    return results.withColumn("_r", facts[F.col("test_name")]).select(
-        F.col("_r.layer_name"), "entity_name", "test_name", F.col("_r.severity"), "failed_rows", "sample_value")
+        own = [r for r in rules if r.table == table and r.kind in ROW_LEVEL]
+        if own:
+            seen = Observation(f"rules of {table}")
+            failing_rows(tables[table], own, keys[table], run_id, seen).drop("run_id", "entity_name").write.mode("overwrite").parquet(
+                f"{path}/rows/run={run_id}/entity={table}")
+            found |= {r.name: seen.get[f"r{i}"] for i, r in enumerate(own)}
+    if any(r.kind in TABLE_LEVEL for r in rules):
+        failing_values(tables, rules, run_id).drop("run_id").write.mode("overwrite").parquet(f"{path}/values/run={run_id}")
+    return found
 
 
 def consolidate(results: DataFrame, run_id: str, as_of: datetime) -> DataFrame:

@@ -160,8 +160,8 @@ def test_normalised_duplicates_stay_when_referenced(spark):
     customers = spark.createDataFrame(rows, "id string, name string")
     refs = spark.createDataFrame([("c3",), ("c3",)], "customer string")
     kept = cdc.dedup_normalised(customers, "id", ["name"], [refs])
-    assert {r.id for r in kept.collect()} == {"c1", "c3", "c4", "c5"}
-    assert {r.id for r in cdc.dedup_normalised(customers, "id", ["name"]).collect()} == {"c1", "c4", "c5"}
+    assert {r.id for r in kept.collect()} == {"c1", "c3", "c4", "c5", "c6"}
+    assert {r.id for r in cdc.dedup_normalised(customers, "id", ["name"]).collect()} == {"c1", "c4", "c5", "c6"}
 
 
 def test_scd2_lookup_takes_the_version_in_force_once(spark):

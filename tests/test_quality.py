@@ -41,6 +41,40 @@ def test_suite_counts_failures(spark, parent, child):
         "range_child_amount": (1, "-1.0", ERROR), "relationship_child_parent": (2, "9", WARN)}
 
 
+def test_combinations_count_null_as_a_value_and_self_references_work(spark):
+    rows = [(1, None, 1), (1, None, 2), (1, "a|b", None), (2, "[null]", 9), (2, None, 2), (3, "a", 1), (3, "b", 1)]
+    t = spark.createDataFrame(rows, "a int, b string, up int")
+    rules = [Rule("silver", "t", "unique_combination", ("a", "b")), Rule("silver", "t", "relationship", ("up",), ERROR, {"to": "t", "field": "a"}),
+             Rule("silver", "t", "unique", ("b",))]
+    got = {r.test_name: (r.failed_rows, r.sample_value) for r in quality.run_suite({"t": t}, rules).collect()}
+    assert got == {"unique_combination_t_a_b": (1, "1"), "relationship_t_up": (1, "9"), "unique_t_b": (0, None)}
+
+
+def test_the_suite_scans_each_table_once(spark, tmp_path, parent, child):
+    child.write.parquet(f"{tmp_path}/child")
+    parent.write.parquet(f"{tmp_path}/parent")
+    tables = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("child", "parent")}
+    rules = [Rule("silver", "child", "not_null", ("code",)), Rule("silver", "child", "unique", ("id",)), Rule("silver", "parent", "unique", ("id",)),
+             Rule("silver", "child", "relationship", ("parent",), ERROR, {"to": "parent", "field": "id"}),
+             Rule("silver", "child", "unique_combination", ("id", "code"))]
+    text = quality.run_suite(tables, rules)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 2
+    assert "partial_sum" in text[text.index("Exchange hashpartitioning(rule"):]
+
+
+def test_failing_rows_are_stored_with_counts_of_the_same_scan(spark, tmp_path, parent, child):
+    rules = [Rule("silver", "child", "not_null", ("code",)), Rule("silver", "child", "range", ("amount",), WARN, {"low": 1, "inclusive": True}),
+             Rule("silver", "child", "relationship", ("parent",), ERROR, {"to": "parent", "field": "id"}), Rule("silver", "child", "unique", ("id",))]
+    tables = {"child": child, "parent": parent}
+    for _ in range(2):  # a repeated run replaces what it wrote
+        assert quality.store_failures(tables, rules, {"child": "id"}, str(tmp_path), "r1") == {"not_null_child_code": 1, "range_child_amount": 2}
+    rows = {(r.row_key, tuple(r.rules), r.row) for r in spark.read.parquet(f"{tmp_path}/rows").collect()}
+    assert rows == {("2", ("range_child_amount",), '{"id":2,"parent":9,"code":"b","amount":-1.0}'),
+                    ("2", ("not_null_child_code", "range_child_amount"), '{"id":2,"parent":null,"code":null,"amount":0.0}')}
+    values = {(r.entity_name, r.test_name, r.value, r.failed_rows) for r in spark.read.parquet(f"{tmp_path}/values").collect()}
+    assert values == {("child", "relationship_child_parent", "9", 2), ("child", "unique_child_id", "2", 1)}
+
+
 def test_exclusive_range_fails_on_the_limit(child):
     assert quality.in_range(child, "amount", low=0, inclusive=False).count() == 2
     assert quality.in_range(child, "amount", low=-1, high=5).count() == 0
