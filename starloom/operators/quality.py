@@ -113,18 +113,18 @@ def _note(rule: int, value: Column, sample: Column | None = None, failed: int =
                     (value if sample is None else sample).cast("string").alias("sample"), *counts)
 
 
-def _notes(table: str, rules: Sequence[Rule]) -> list[Column]:
+def _notes(table: str, rules: Sequence[Rule], child: bool = True, parent_of: bool = True) -> list[Column]:
     """What each row of a table says about the rules: on itself, on its keys, and as a parent of other tables' rows."""
     notes = []
     for i, r in enumerate(rules):
         c = F.col(r.column)
         if r.kind == "relationship":
-            if r.table == table:
+            if r.table == table and child:
                 notes.append(F.when(c.isNotNull(), _note(i, c, rows=1)))
-            if r.args["to"] == table:
+            if r.args["to"] == table and parent_of:
                 parent = F.col(r.args["field"])
                 notes.append(F.when(parent.isNotNull(), _note(i, parent, known=1)))
-        elif r.table != table:
+        elif r.table != table or not child:
             continue
         elif r.kind == "unique":
             notes.append(F.when(c.isNotNull(), _note(i, c, rows=1)))
@@ -136,26 +136,33 @@ def _notes(table: str, rules: Sequence[Rule]) -> list[Column]:
     return notes
 
 
-def _check_tables(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> None:
+def _check_tables(tables: Mapping[str, DataFrame], rules: Sequence[Rule], parents: Mapping[str, DataFrame]) -> None:
     """A rule whose table is missing is an error, not a pass."""
     for rule in rules:
         if rule.kind not in ROW_LEVEL and rule.kind not in TABLE_LEVEL:
             raise ValueError(f"unknown rule kind: {rule.kind}")
-        for needed in {rule.table, rule.args.get("to", rule.table)}:
-            if needed not in tables:
-                raise KeyError(f"{rule.name}: table {needed} is missing")
+        if rule.table not in tables:
+            raise KeyError(f"{rule.name}: table {rule.table} is missing")
+        if rule.kind == "relationship" and rule.args["to"] not in parents and rule.args["to"] not in tables:
+            raise KeyError(f"{rule.name}: table {rule.args['to']} is missing")
 
 
-def _value_verdicts(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+def _value_verdicts(tables: Mapping[str, DataFrame], rules: Sequence[Rule], parents: Mapping[str, DataFrame]) -> DataFrame:
     """(rule, value, sample, failed) of every value that breaks a rule; ``failed`` counts rows, for unique rules groups.
 
     Each table is scanned once, whatever rules use it: its rows say what they have to say about all of them, partial
     counts by (rule, value) are taken before the only shuffle, and children meet their parents' keys there without a join.
     """
-    stacked = None
+    said = []
     for table in dict.fromkeys(t for r in rules for t in (r.table, r.args.get("to", r.table))):
-        one = tables[table].select(F.explode(F.array_compact(F.array(*_notes(table, rules)))).alias("x")).select("x.*")
-        stacked = one if stacked is None else stacked.unionByName(one)
+        said.append((tables.get(table), _notes(table, rules, parent_of=table not in parents)))
+        if table in parents:
+            said.append((parents[table], _notes(table, rules, child=False)))
+    stacked = None
+    for frame, notes in said:
+        if notes:
+            one = frame.select(F.explode(F.array_compact(F.array(*notes))).alias("x")).select("x.*")
+            stacked = one if stacked is None else stacked.unionByName(one)
     met = stacked.groupBy("rule", "value").agg(F.min("sample").alias("sample"), *[F.sum(c).alias(c) for c in ("failed", "rows", "known")])
     numbers = {kind: [i for i, r in enumerate(rules) if r.kind in kind] for kind in (("unique", "unique_combination"), ("relationship",))}
     twice, child = (F.col("rule").isin(n) for n in numbers.values())
@@ -164,10 +171,13 @@ def _value_verdicts(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> D
     return met.select("rule", "value", "sample", failed.cast("bigint").alias("failed")).filter("failed > 0")
 
 
-def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """Result of every rule: layer, entity, test, severity, failed rows and a sample value."""
-    _check_tables(tables, rules)
-    counts = _value_verdicts(tables, rules).groupBy("rule").agg(F.sum("failed").alias("failed_rows"), F.min("sample").alias("sample_value"))
+def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Result of every rule: layer, entity, test, severity, failed rows and a sample value.
+
+    ``parents`` holds frames that stand for a table where others refer to it, for suites over a batch's rows only.
+    """
+    _check_tables(tables, rules, parents or {})
+    counts = _value_verdicts(tables, rules, parents or {}).groupBy("rule").agg(F.sum("failed").alias("failed_rows"), F.min("sample").alias("sample_value"))
     facts = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(r.layer).alias("layer_name"), F.lit(r.table).alias("entity_name"),
                                F.lit(r.name).alias("test_name"), F.lit(r.severity).alias("severity")) for i, r in enumerate(rules)])
     spark = next(iter(tables.values())).sparkSession
@@ -202,11 +212,11 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule], key: str, run_id: str, co
 
 def failing_values(tables: Mapping[str, DataFrame], rules: Sequence[Rule], run_id: str) -> DataFrame:
     """The values that break unique and relationship rules, as they are stored: run, table, rule, value, failures."""
-    _check_tables(tables, rules)
+    _check_tables(tables, rules, {})
     own = [r for r in rules if r.kind in TABLE_LEVEL]
     names = F.array(*[F.struct(F.lit(r.table).alias("t"), F.lit(r.name).alias("n")) for r in own])
     fact = F.element_at(names, F.col("rule") + 1)
-    return _value_verdicts(tables, own).select(F.lit(run_id).alias("run_id"), fact["t"].alias("entity_name"), fact["n"].alias("test_name"),
+    return _value_verdicts(tables, own, {}).select(F.lit(run_id).alias("run_id"), fact["t"].alias("entity_name"), fact["n"].alias("test_name"),
                                                F.col("sample").alias("value"), F.col("failed").alias("failed_rows"))
 
 

@@ -15,6 +15,7 @@ from starloom.operators.cdc import label_catalog, latest_event, mark_deleted
 CUSTOMER_INPUT = ["company_name", "country", "city", "contact_email", "contact_phone", "customer_since"]
 PRODUCT_INPUT = ["product_name", "category", "primary_supplier_id", "unit_cost", "list_price", "product_launch_date",
                  "is_discontinued", "discontinued_date"]
+ORDER_INPUT = ["customer_id", "warehouse_id", "order_date", "order_status", "sales_channel"]
 LINE_INPUT = ["sales_order_id", "product_id", "quantity", "unit_price", "discount_rate", "line_subtotal",
               "discount_amount", "line_total"]
 
@@ -96,24 +97,37 @@ def slv_branches(warehouses: DataFrame) -> DataFrame:
         upper_label(F.col("country")).alias("pais"), F.col(INGESTED).alias("actualizado_en"), *_trace()).drop(SEQ)
 
 
+def clean_invoices(invoices: DataFrame) -> DataFrame:
+    """The newest state of each invoice: its order and repaired date."""
+    repaired = repair.repair_invoice_date(F.col("invoice_date"), F.col("due_date"), F.col("payment_term_days"))
+    return newest(invoices, "invoice_id", "sales_order_id", "invoice_date", "due_date", "payment_term_days").select(
+        "invoice_id", "sales_order_id", repaired.alias("day"), *_trace())
+
+
+def clean_shipments(shipments: DataFrame) -> DataFrame:
+    """The newest state of each shipment: its order and date."""
+    return newest(shipments, "shipment_id", "sales_order_id", "ship_date").select(
+        "shipment_id", "sales_order_id", F.col("ship_date").alias("day"), *_trace())
+
+
 def invoice_dates(invoices: DataFrame) -> DataFrame:
     """Latest repaired invoice date per order, deleted invoices left out."""
-    repaired = repair.repair_invoice_date(F.col("invoice_date"), F.col("due_date"), F.col("payment_term_days"))
-    return (newest(invoices, "invoice_id", "sales_order_id", "invoice_date", "due_date", "payment_term_days").filter(~mark_deleted(F.col(OP)))
-            .groupBy("sales_order_id").agg(F.max(repaired).alias("invoice_date")))
+    return clean_invoices(invoices).filter("not es_borrado").groupBy("sales_order_id").agg(F.max("day").alias("invoice_date"))
 
 
 def first_shipments(shipments: DataFrame) -> DataFrame:
     """First shipment date per order, deleted shipments left out."""
-    return (newest(shipments, "shipment_id", "sales_order_id", "ship_date").filter(~mark_deleted(F.col(OP)))
-            .groupBy("sales_order_id").agg(F.min("ship_date").alias("ship_date")))
+    return clean_shipments(shipments).filter("not es_borrado").groupBy("sales_order_id").agg(F.min("day").alias("ship_date"))
 
 
-def slv_orders(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, swap: bool = True) -> DataFrame:
-    """Order headers with the repaired date. ``swap`` also tries the exchange of day and month."""
-    joined = (newest(orders, "sales_order_id", "customer_id", "warehouse_id", "order_date", "order_status", "sales_channel")
-              .join(invoice_dates(invoices), "sales_order_id", "left")
-              .join(first_shipments(shipments), "sales_order_id", "left"))
+def newest_orders(orders: DataFrame) -> DataFrame:
+    """The newest event of each order, with the columns its header uses."""
+    return newest(orders, "sales_order_id", *ORDER_INPUT)
+
+
+def order_headers(orders: DataFrame, invoiced: DataFrame, shipped: DataFrame, swap: bool = True) -> DataFrame:
+    """Headers of orders (one row each) from their last invoice and first shipment dates."""
+    joined = orders.join(invoiced, "sales_order_id", "left").join(shipped, "sales_order_id", "left")
     sold = repair.repair_order_date(F.col("order_date"), F.col("ship_date"), F.col("invoice_date"), swap)
     return joined.withColumn("_sold", sold).select(
         F.col("sales_order_id").alias("venta_id"), F.col("customer_id").alias("cliente_id"),
@@ -124,6 +138,11 @@ def slv_orders(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, swa
         F.col(INGESTED).alias("actualizado_en"), *_trace()).drop(SEQ)
 
 
+def slv_orders(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, swap: bool = True) -> DataFrame:
+    """Order headers with the repaired date. ``swap`` also tries the exchange of day and month."""
+    return order_headers(newest_orders(orders), invoice_dates(invoices), first_shipments(shipments), swap)
+
+
 def slv_order_lines(lines: DataFrame) -> DataFrame:
     """Order lines with repaired quantity and discount and the recomputed amount."""
     subtotal, price = F.col("line_subtotal"), F.col("unit_price")
