@@ -18,7 +18,8 @@ from starloom.operators import joins, monitor, profile, quality
 from starloom.operators.cdc import latest_event
 from starloom.operators.control import table_watermark
 from starloom.operators.fact import eligible_lines
-from starloom.plans.rules import SILVER_RULES
+from starloom.plans.rules import BRONZE_RULES, GOLD_RULES, SILVER_RULES
+from starloom.session import fresh_dir
 
 
 # ---- generic assertions: the failing rows ----------------------------------------------------
@@ -238,9 +239,11 @@ def _(b):
 
 # ---- the suite ------------------------------------------------------------------------------------
 
-SILVER_SQL = {"slv_clientes": "s_clientes", "slv_categorias": "s_categorias", "slv_productos": "s_productos",
+SUITE_TABLES = {"slv_clientes": "s_clientes", "slv_categorias": "s_categorias", "slv_productos": "s_productos",
               "slv_canales": "s_canales", "slv_sucursales": "s_sucursales", "slv_ventas": "s_ventas",
-              "slv_venta_detalle": "s_detalle"}
+              "slv_venta_detalle": "s_detalle",
+              "dim_fecha": "d_fecha", "dim_cliente": "d_cliente", "dim_producto": "d_producto", "dim_canal": "d_canal",
+              "dim_sucursal": "d_sucursal", "fact_ventas": "f_ventas", **{e: f"b_{e}" for e in ENTITIES}}
 
 
 def _literal(v) -> str:
@@ -249,7 +252,7 @@ def _literal(v) -> str:
 
 def _rule_sql(r: quality.Rule) -> str:
     """Failing rows of one rule, counted by a query of its own."""
-    t, c = SILVER_SQL[r.table], r.column
+    t, c = SUITE_TABLES[r.table], r.column
     values = ", ".join(_literal(v) for v in r.args.get("values", []))
     low, high, closed = r.args.get("low"), r.args.get("high"), r.args.get("inclusive", True)
     failing = {
@@ -262,7 +265,7 @@ def _rule_sql(r: quality.Rule) -> str:
                          + " OR ".join(x for x in (None if low is None else f"{c} {'<' if closed else '<='} {low}",
                                                    None if high is None else f"{c} {'>' if closed else '>='} {high}") if x),
         "relationship": lambda: f"SELECT CAST({c} AS VARCHAR) AS v FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN "
-                                f"(SELECT {r.args['field']} FROM {SILVER_SQL[r.args['to']]})",
+                                f"(SELECT {r.args['field']} FROM {SUITE_TABLES[r.args['to']]})",
     }[r.kind]()
     return (f"SELECT '{r.layer}' AS layer_name, '{r.table}' AS entity_name, '{r.name}' AS test_name, "
             f"'{r.severity}' AS severity, count(*) AS failed_rows, min(v) AS sample_value FROM ({failing})")
@@ -279,6 +282,47 @@ def silver_results(b):
 query("dq_suite_silver", RESULT, SUITE_SQL)(silver_results)
 
 
+@query("dq_suite_bronze", RESULT, " UNION ALL ".join(_rule_sql(r) for r in BRONZE_RULES))
+def _(b):
+    return quality.run_suite({e: b.log(e) for e in ENTITIES}, BRONZE_RULES)
+
+
+@query("dq_suite_gold", RESULT, " UNION ALL ".join(_rule_sql(r) for r in GOLD_RULES))
+def _(b):
+    dims = {f"dim_{n}": b.gold[n] for n in ("cliente", "producto", "canal", "sucursal")}
+    return quality.run_suite({"dim_fecha": b.dim_date, **dims, "fact_ventas": b.fact()}, GOLD_RULES)
+
+
+STORED = [r for r in SILVER_RULES if r.table in ("slv_clientes", "slv_productos", "slv_canales", "slv_ventas", "slv_sucursales")]
+STORED_KEYS = {"slv_clientes": "cliente_id", "slv_productos": "producto_id", "slv_canales": "canal_id", "slv_ventas": "venta_id", "slv_sucursales": "sucursal_id"}
+
+
+def _stored_sql(r: quality.Rule) -> str:
+    """What one rule leaves behind: its failing rows by key, or its failing values with the number of rows."""
+    t, c = SUITE_TABLES[r.table], r.column
+    values = ", ".join(_literal(v) for v in r.args.get("values", []))
+    head = f"SELECT '{r.table}' AS entity_name, '{r.name}' AS test_name, "
+    if r.kind == "unique":
+        return head + f"CAST({c} AS VARCHAR) AS key, 1 AS failed_rows FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
+    if r.kind == "relationship":
+        parent = f"(SELECT {r.args['field']} FROM {SUITE_TABLES[r.args['to']]})"
+        return head + f"CAST({c} AS VARCHAR) AS key, count(*) AS failed_rows FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN {parent} GROUP BY {c}"
+    broken = {"not_null": f"{c} IS NULL", "accepted_values": f"{c} NOT IN ({values})", "not_accepted_values": f"{c} IN ({values})",
+              "range": f"{c} < {r.args.get('low')}" + (f" OR {c} > {r.args['high']}" if "high" in r.args else "")}[r.kind]
+    return head + f"CAST({STORED_KEYS[r.table]} AS VARCHAR) AS key, 1 AS failed_rows FROM {t} WHERE {broken}"
+
+
+@query("stored_failures", "entity_name test_name key failed_rows:i", " UNION ALL ".join(_stored_sql(r) for r in STORED))
+def _(b):
+    path = fresh_dir(b.spark, "failures")
+    tables = {n: b.silver[n] for n in (*STORED_KEYS, "slv_categorias")}
+    quality.store_failures(tables, STORED, STORED_KEYS, path, "run-1")
+    rows = b.spark.read.parquet(f"{path}/rows").select(F.col("entity").alias("entity_name"), F.explode("rules").alias("test_name"), F.col("row_key").alias("key"),
+                                                       F.lit(1).alias("failed_rows"))
+    values = b.spark.read.parquet(f"{path}/values").select("entity_name", "test_name", F.col("value").alias("key"), "failed_rows")
+    return rows.unionByName(values)
+
+
 @query("consolidate_quality", "run_id " + RESULT + " detected_at:t",
        f"SELECT 'run-9' AS run_id, *, {q.AS_OF} AS detected_at FROM ({SUITE_SQL}) WHERE failed_rows > 0")
 def _(b):
