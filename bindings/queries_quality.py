@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from bindings import sql as q
 from bindings.binding import AS_OF, SPLIT
 from bindings.queries_relational import (EVENTS, EVENTS_SQL, QUALITY_SQL, RECON, RECON_SQL, SOURCES, STAR, STAR_SQL,
-                                         all_events, quality_entries, star_dims)
+                                         all_events, completeness_sql, quality_entries, source_counts, star_dims)
 from bindings.registry import query
 from starloom.contracts import DOMAINS, ENTITIES, SLA_MINUTES
 from starloom.functions import repair
@@ -163,18 +163,10 @@ query("star_integrity", STAR, STAR_SQL.format(fact="f_ventas"))(
     lambda b: monitor.star_integrity(b.fact(), star_dims(b)))
 
 
-@query("bronze_completeness", "entidad filas_oltp:i claves:i veredicto",
-       "SELECT *, CASE WHEN claves >= filas_oltp THEN 'OK' ELSE 'FALTAN CLAVES' END AS veredicto FROM ("
-       + " UNION ALL ".join(f"SELECT '{e}' AS entidad, (SELECT count(*) FROM {t}) AS filas_oltp, "
-                            f"(SELECT count(DISTINCT {ENTITIES[e].key}) FROM b_{e}) AS claves" for e, t in SOURCES.items())
-       + ")")
+@query("bronze_completeness", "entidad filas_oltp:i claves:i veredicto", completeness_sql())
 def _(b):
-    expected = None
-    for entity, table in SOURCES.items():
-        one = b.table(table).agg(F.count("*").alias("filas_oltp")).select(F.lit(entity).alias("entidad"), "filas_oltp")
-        expected = one if expected is None else expected.unionByName(one)
     observed = profile.distinct_keys({e: (b.log(e), ENTITIES[e].key) for e in SOURCES})
-    return joins.completeness(expected, observed, "entidad", "filas_oltp", "claves")
+    return joins.completeness(source_counts(b), observed, "entidad", "filas_oltp", "claves")
 
 
 # ---- freshness and health -----------------------------------------------------------------------

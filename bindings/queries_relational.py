@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindings import sql as q
@@ -101,9 +104,10 @@ def visits(b):
 
 
 @query("join_self_overlap", "user_id seq start:t end:t".replace("end:t", "end_ts:t").replace("start:t", "start_ts:t"),
-       """SELECT DISTINCT a.* FROM v a JOIN v b ON a.user_id = b.user_id AND a.start_ts <> b.start_ts
-  AND a.start_ts < b.end_ts AND b.start_ts < a.end_ts""".replace("v a", "({v}) a").replace("v b", "({v}) b").format(
-           v="SELECT user_id, seq, ingested_at AS start_ts, ingested_at + to_minutes(seq % 400 + 1) AS end_ts FROM b_log"))
+       """SELECT DISTINCT a.*
+FROM (SELECT user_id, seq, ingested_at AS start_ts, ingested_at + to_minutes(seq % 400 + 1) AS end_ts FROM b_log) a
+JOIN (SELECT user_id, ingested_at AS start_ts, ingested_at + to_minutes(seq % 400 + 1) AS end_ts FROM b_log) b
+  ON a.user_id = b.user_id AND a.start_ts <> b.start_ts AND a.start_ts < b.end_ts AND b.start_ts < a.end_ts""")
 def _(b):
     return joins.overlaps(visits(b), ["user_id"], "start", "end").withColumnsRenamed({"start": "start_ts", "end": "end_ts"})
 
@@ -115,26 +119,36 @@ def _(b):
     return joins.orphans(b.silver["slv_ventas"], "sucursal_id", b.silver["slv_sucursales"], "sucursal_id")
 
 
-# Source table behind each entity, to count the rows a complete initial load must have.
-SOURCES = {"customers": "customer", "products": "part", "suppliers": "supplier", "warehouses": "nation",
-           "sales_orders": "orders", "sales_order_lines": "lineitem", "invoices": "orders", "payments": "orders",
-           "support_tickets": "events"}
+# Source rows behind each of the 16 entities, to count what a complete initial load must have: table and condition.
+SOURCES = {"customers": ("customer", "true"), "products": ("part", "true"), "suppliers": ("supplier", "true"), "warehouses": ("nation", "true"),
+           "sales_orders": ("orders", "true"), "sales_order_lines": ("lineitem", "true"), "shipments": ("lineitem", "true"),
+           "invoices": ("orders", "true"), "payments": ("orders", "true"), "returns": ("lineitem", "l_returnflag = 'R'"),
+           "purchase_orders": ("orders", "true"), "purchase_order_lines": ("lineitem", "true"), "supplier_invoices": ("orders", "true"),
+           "supplier_payments": ("orders", "true"), "inventory_snapshots": ("lineitem", "true"), "support_tickets": ("events", "true")}
+
+
+def source_counts(b):
+    """Rows of every entity's source, counted in one pass over each source table."""
+    parts = []
+    for table in dict.fromkeys(t for t, _ in SOURCES.values()):
+        mine = {e: condition for e, (t, condition) in SOURCES.items() if t == table}
+        counts = b.table(table).agg(*[F.count_if(F.expr(c)).alias(e) for e, c in mine.items()])
+        parts.append(counts.select(F.explode(F.array(*[F.struct(F.lit(e).alias("entidad"), F.col(e).alias("filas_oltp")) for e in mine])).alias("x")).select("x.*"))
+    return reduce(DataFrame.unionByName, parts)
+
 
+def completeness_sql(missing=()):
+    return "SELECT *, CASE WHEN claves >= filas_oltp THEN 'OK' ELSE 'FALTAN CLAVES' END AS veredicto FROM (" + " UNION ALL ".join(
+        f"SELECT '{e}' AS entidad, (SELECT count(*) FROM {t} WHERE {c}) AS filas_oltp, "
+        + ("NULL" if e in missing else f"(SELECT count(DISTINCT {ENTITIES[e].key}) FROM b_{e})") + " AS claves"
+        for e, (t, c) in SOURCES.items()) + ")"
 
-@query("join_left_expected", "entidad filas_oltp:i claves:i veredicto",
-       "SELECT *, CASE WHEN claves >= filas_oltp THEN 'OK' ELSE 'FALTAN CLAVES' END AS veredicto FROM ("
-       + " UNION ALL ".join(
-           f"SELECT '{e}' AS entidad, (SELECT count(*) FROM {t}) AS filas_oltp, "
-           + ("NULL" if e == "suppliers" else f"(SELECT count(DISTINCT {ENTITIES[e].key}) FROM b_{e})") + " AS claves"
-           for e, t in SOURCES.items()) + ")")
+
+@query("join_left_expected", "entidad filas_oltp:i claves:i veredicto", completeness_sql(missing=["suppliers"]))
 def _(b):
-    expected = None
-    for entity, table in SOURCES.items():
-        one = b.table(table).agg(F.count("*").alias("filas_oltp")).select(F.lit(entity).alias("entidad"), "filas_oltp")
-        expected = one if expected is None else expected.unionByName(one)
     # One entity was never landed, so a missing one shows too.
     observed = profile.distinct_keys({e: (b.log(e), ENTITIES[e].key) for e in SOURCES if e != "suppliers"})
-    return joins.completeness(expected, observed, "entidad", "filas_oltp", "claves")
+    return joins.completeness(source_counts(b), observed, "entidad", "filas_oltp", "claves")
 
 
 def quality_entries(b):
@@ -318,6 +332,29 @@ def _(b):
     return parts
 
 
+# The date by which each entity is profiled.
+PROFILE_DAYS = {"customers": "customer_since", "products": "product_launch_date", "suppliers": "supplier_since", "warehouses": None,
+                "sales_orders": "order_date", "sales_order_lines": None, "shipments": "ship_date", "invoices": "invoice_date", "payments": "payment_date",
+                "returns": "return_date", "purchase_orders": "order_date", "purchase_order_lines": None, "supplier_invoices": "invoice_date",
+                "supplier_payments": "payment_date", "inventory_snapshots": "snapshot_date", "support_tickets": "created_at"}
+
+
+def _entity_profile_sql(entity: str) -> str:
+    k, day, columns = ENTITIES[entity].key, PROFILE_DAYS[entity], ENTITIES[entity].source_schema.names
+    low, high = (f"CAST(min({day}) AS DATE)", f"CAST(max({day}) AS DATE)") if day else ("CAST(NULL AS DATE)",) * 2
+    nulls = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in columns)
+    return f"""SELECT '{entity}' AS table_name, count(*) AS rows, {len(columns)} AS columns, {nulls} AS nulls, count(DISTINCT {k}) AS distinct_keys,
+  count(*) = count(DISTINCT {k}) AS key_is_unique, {low} AS first_date, {high} AS last_date FROM b_{entity} WHERE cdc_operation = 'I'"""
+
+
+@query("profile_entities", "table_name rows:i columns:i nulls:i distinct_keys:i key_is_unique first_date:d last_date:d",
+       " UNION ALL ".join(_entity_profile_sql(e) for e in PROFILE_DAYS))
+def _(b):
+    # The initial load of every entity, as its source held it.
+    return reduce(DataFrame.unionByName, [profile.profile_table(
+        b.log(e).filter("cdc_operation = 'I'").select(*ENTITIES[e].source_schema.names), e, ENTITIES[e].key, day) for e, day in PROFILE_DAYS.items()])
+
+
 # ---- windows, sorts, set operations ---------------------------------------------------------
 
 
@@ -357,11 +394,9 @@ def _(b):
 
 
 @query("order_by_report", "entidad claves:i", " UNION ALL ".join(
-    f"SELECT '{e}' AS entidad, count(DISTINCT {ENTITIES[e].key}) AS claves FROM b_{e}"
-    for e in ("customers", "products", "sales_orders", "sales_order_lines")) + " ORDER BY claves DESC, entidad")
+    f"SELECT '{e}' AS entidad, count(DISTINCT {ENTITIES[e].key}) AS claves FROM b_{e}" for e in ENTITIES) + " ORDER BY claves DESC, entidad")
 def _(b):
-    names = ("customers", "products", "sales_orders", "sales_order_lines")
-    counts = profile.distinct_keys({e: (b.log(e), ENTITIES[e].key) for e in names})
+    counts = profile.distinct_keys({e: (b.log(e), ENTITIES[e].key) for e in ENTITIES})
     return counts.orderBy(F.col("claves").desc(), "entidad")
 
 

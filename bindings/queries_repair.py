@@ -10,9 +10,10 @@ from bindings.registry import query
 from starloom.contracts import CATEGORY_ALIASES, COUNTRY_ALIASES
 from starloom.functions import dates, keys, repair
 from starloom.functions.text import clean_email, clean_phone, clean_text, conform, conform_by_table, upper_label
+from starloom.operators import profile
 from starloom.operators.cdc import latest_event
 from starloom.operators.fact import clamp_returns
-from starloom.operators.profile import null_counts, rare_values, repair_audit
+from starloom.operators.profile import null_counts, repair_audit
 from starloom.plans.silver import first_shipments, invoice_dates
 
 QTY = "coalesce(quantity, CAST(round(line_subtotal / nullif(unit_price, 0)) AS INT))"
@@ -156,12 +157,24 @@ def _(b):
         null_counts(weights, "products", ["weight_kg"]))
 
 
-@query("report_outliers", "value rows:i",
-       f"""SELECT n AS value, count(*) AS rows FROM (SELECT {q.label('company_name')} AS n FROM x_customers)
-WHERE n IS NOT NULL GROUP BY n HAVING count(*) = 1""")
+OUTLIERS = ["customer_segment", "region_type", "country", "city", "company_name"]
+
+
+@query("report_outliers", "column_name value rows:i", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, v AS value, count(*) AS rows FROM (SELECT {q.label(c)} AS v FROM x_customers) WHERE v IS NOT NULL "
+    "GROUP BY v HAVING count(*) <= 1" for c in OUTLIERS))
+def _(b):
+    customers = latest_event(b.log("customers"), ["customer_id"])
+    return profile.rare_labels(customers.select(*[upper_label(F.col(c)).alias(c) for c in OUTLIERS]), OUTLIERS)
+
+
+@query("outlier_log", "table_name row_primary_key column_name corrupted_value issue_type severity is_repair_suggested", " UNION ALL ".join(
+    f"""SELECT 'customers' AS table_name, customer_id AS row_primary_key, '{c}' AS column_name, v AS corrupted_value, 'outlier' AS issue_type,
+  'low' AS severity, 'no' AS is_repair_suggested FROM (SELECT customer_id, {q.label(c)} AS v FROM x_customers) WHERE v IS NOT NULL
+QUALIFY count(*) OVER (PARTITION BY v) <= 1""" for c in OUTLIERS))
 def _(b):
     customers = latest_event(b.log("customers"), ["customer_id"])
-    return rare_values(customers.select(upper_label(F.col("company_name")).alias("name")), "name")
+    return profile.outlier_log(customers.select("customer_id", *[upper_label(F.col(c)).alias(c) for c in OUTLIERS]), "customers", "customer_id", OUTLIERS)
 
 
 @query("unit_margin", "product_id seq margen:m",

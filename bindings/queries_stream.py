@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bindings.queries_ingest import LOG, LOG_SCHEMA, NET_SQL, landed_log
 from bindings.registry import query
 from starloom.functions.dates import window_start
+from starloom.operators.cdc import net_rows
 from starloom.session import fresh_dir
 from starloom.sources.bronze import entity_path
 from starloom.sources.tables import KeyedTable
@@ -58,11 +59,11 @@ def _(b):
 @query("stream_net_changes", "window_epoch " + LOG, f"""SELECT *, slot AS window_epoch
 FROM ({NET_SQL.format(slot='(epoch_us(ingested_at) // 900000000 * 900)')})""")
 def _(b):
-    out = fresh_dir(b.spark, "net")
-    # All files in one microbatch, so that no window is cut by a microbatch's end.
-    rows = stream(b).withColumn("window_epoch", window_start(F.col("ingested_at")))
-    finish(jobs.start_batches(rows, jobs.net_changes_to(out, ["user_id"], ["window_epoch"]), out + "-checkpoint", None))
-    return b.spark.read.option("recursiveFileLookup", "true").parquet(out)
+    # Ten files a microbatch: windows and keys go on from one to the next.
+    table = KeyedTable(b.spark, fresh_dir(b.spark, "net"), ["window_epoch", "user_id"])
+    rows = stream(b, max_files=10).withColumn("window_epoch", window_start(F.col("ingested_at")))
+    finish(jobs.start_batches(rows, jobs.net_changes_to(table), table.path + "-checkpoint", None))
+    return net_rows(table.read(), table.keys)
 
 
 @query("stream_upsert_silver", LOG, "SELECT * FROM x_log")
@@ -84,7 +85,9 @@ def _(b):
 def _(b):
     root = landed_log(b)
     b.log("log").write.mode("overwrite").parquet(entity_path(root, "log") + "/replayed")
-    return to_files(b, jobs.replay_dedup(stream(b, root=root), ["seq"]))
+    out = fresh_dir(b.spark, "once")
+    finish(jobs.start_batches(stream(b, max_files=10, root=root), jobs.replay_ledger(out, ["seq"]), out + "-checkpoint", every=None))
+    return b.spark.read.schema(LOG_SCHEMA).parquet(f"{out}/new").unionByName(b.spark.read.schema(LOG_SCHEMA).parquet(f"{out}/late")).select(*LOG_SCHEMA.names)
 
 
 @query("stream_fact_enrich", "user_id seq event_type cliente_key", """SELECT l.user_id, l.seq, l.event_type,

@@ -62,6 +62,34 @@ def net_changes(log: DataFrame, keys: Sequence[str], batch: Sequence[str],
             .select(*group, *[(net_op if c == op else F.col(f"_last.{c}")).alias(c) for c in payload]))
 
 
+def net_state(log: DataFrame, group: Sequence[str], order: Sequence[str] = (INGESTED, SEQ), op: str = OP) -> DataFrame:
+    """What composing net changes needs of each group: its first event's place and operation, and its last event.
+
+    States of parts of a log compose by ``compose_net``; ``net_rows`` of the whole gives what ``net_changes`` gives. A group
+    that was inserted and deleted keeps its state though it has no row: a later event still finds the insert.
+    """
+    payload = [c for c in log.columns if c not in group]
+    position = F.struct(*order_columns(log, group, order))
+    return log.groupBy(*group).agg(
+        F.min(F.struct(position.alias("at"), F.col(op).alias("op"))).alias("_first"),
+        F.max(F.struct(position.alias("at"), F.struct(*payload).alias("row"))).alias("_last"))
+
+
+def compose_net(earlier: DataFrame, later: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The state of two parts of a log together, in whatever order they arrived."""
+    return earlier.unionByName(later).groupBy(*group).agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+
+
+def net_rows(state: DataFrame, group: Sequence[str], op: str = OP) -> DataFrame:
+    """One row per group with the net operation: I then U is I, I then D is nothing, D then I is U, D last is D."""
+    first, row = F.col("_first.op"), "_last.row"
+    payload = state.schema["_last"].dataType["row"].dataType.names
+    last = F.col(f"{row}.{op}")
+    net = F.when((first == "I") & (last != "D"), "I").when(last == "D", "D").otherwise("U")
+    return (state.filter(~((first == "I") & (last == "D")))
+            .select(*group, *[(net if c == op else F.col(f"{row}.{c}")).alias(c) for c in payload]))
+
+
 def all_changes(log: DataFrame, low: int | None, high: int, op: str = "operation", seq: str = SEQ) -> DataFrame:
     """Every event of the sequence range (low, high], before images included, operations named.
 

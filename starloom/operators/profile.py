@@ -57,6 +57,25 @@ def rare_values(df: DataFrame, column: str, at_most: int = 1) -> DataFrame:
             .agg(F.count("*").alias("rows")).filter(F.col("rows") <= at_most))
 
 
+def _labels(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
+    """One row per value of the columns: what is kept of the row, column_name, value. NULLs are left out."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    return df.select(*keep, F.explode(pairs).alias("x")).select(*keep, "x.*").filter(F.col("value").isNotNull())
+
+
+def rare_labels(df: DataFrame, columns: Sequence[str], at_most: int = 1) -> DataFrame:
+    """Values of several columns that occur no more than ``at_most`` times: kept and reported. One scan, one aggregate."""
+    return _labels(df, columns).groupBy("column_name", "value").agg(F.count("*").alias("rows")).filter(F.col("rows") <= at_most)
+
+
+def outlier_log(df: DataFrame, table: str, key: str, columns: Sequence[str]) -> DataFrame:
+    """Issue-log rows of values that occur once: the aggregate carries the key of the only row, so no join is needed."""
+    once = _labels(df, columns, key).groupBy("column_name", "value").agg(F.count("*").alias("rows"), F.min(key).alias("k")).filter("rows = 1")
+    return once.select(F.lit(table).alias("table_name"), F.col("k").alias("row_primary_key"), "column_name", F.lit("outlier").alias("issue_type"),
+                       F.lit("low").alias("severity"), F.lit(None).cast("string").alias("original_clean_value"), F.col("value").alias("corrupted_value"),
+                       F.lit(True).alias("is_auto_detectable"), F.lit("no").alias("is_repair_suggested"), F.lit("value found once").alias("description"))
+
+
 def profile_table(df: DataFrame, name: str, key: str, date: str | None = None) -> DataFrame:
     """Rows, columns, NULLs per table, key uniqueness and date range, in one aggregate."""
     nulls = F.lit(0)

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from starloom.contracts import schema_of
+from starloom.operators import cdc
 from starloom.operators.cdc import latest_event
 from starloom.session import fresh_dir
 from starloom.sources.tables import KeyedTable
@@ -85,6 +86,34 @@ def test_redelivered_events_count_once(spark):
     assert sorted(r.seq for r in spark.read.parquet(out).select("seq").collect()) == list(range(60))
 
 
+def test_late_and_redelivered_events_are_all_given_out_once(spark):
+    """Five events in three files, one of them hours late, all delivered twice: five rows, the late one apart."""
+    at = [(0, START), (1, START + timedelta(minutes=1)), (2, START + timedelta(hours=5)), (3, START + timedelta(hours=5)), (4, START + timedelta(minutes=2))]
+    rows = [("a", "I", t, i) for i, t in at]
+    root, out = fresh_dir(spark, "src"), fresh_dir(spark, "once")
+    for part in (rows[:2], rows[2:4], rows[4:], rows):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/log")
+        stream = jobs.stream_bronze(spark, root, "log", None, SCHEMA)
+        jobs.start_batches(stream, jobs.replay_ledger(out, ["seq"]), out + "-cp", None).awaitTermination()
+    assert sorted(r.seq for r in spark.read.parquet(f"{out}/new").collect()) == [0, 1, 2, 3]
+    assert [r.seq for r in spark.read.parquet(f"{out}/late").collect()] == [4]
+
+
+def test_net_changes_compose_over_microbatches(spark):
+    """One row per key, whatever microbatches its events come in: the same as over the whole log."""
+    ops = {"iu": "IU", "id": "ID", "di": "DI", "idu": "IDU", "uu": "UU", "ud": "UD", "idi": "IDI", "d": "D"}
+    rows = [(k, op, START + timedelta(minutes=i), i) for k, word in ops.items() for i, op in enumerate(word)]
+    whole = cdc.net_changes(spark.createDataFrame(rows, SCHEMA), ["k"], [])
+    for order in (rows, rows[::-1]):  # and in whatever order
+        table, root = KeyedTable(spark, fresh_dir(spark, "net"), ["k"]), fresh_dir(spark, "src")
+        for i in range(3):
+            spark.createDataFrame([r for r in order if r[3] == (i if order is rows else 2 - i)], SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/log")
+            stream = jobs.stream_bronze(spark, root, "log", 1, SCHEMA)
+            jobs.start_batches(stream, jobs.net_changes_to(table), table.path + "-cp", None).awaitTermination()
+        got = cdc.net_rows(table.read(), ["k"])
+        assert sorted(map(tuple, got.select(*whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_enrich_gives_unknown_for_a_missing_master(spark):
     root, out = landed(spark, events(20), 1), fresh_dir(spark, "out")
     dim = spark.createDataFrame([("k1", 11), ("k2", 22)], "id string, dim_key bigint")
