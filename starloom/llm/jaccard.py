@@ -34,7 +34,7 @@ from math import ceil, exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.graph import Forest, components, each_group, in_blocks
@@ -311,11 +311,23 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = WORDS) -> DataFrame:
-    """docs with one document of each component: the one whose id is the component's.
+    """docs with one row of each component: that of the smallest id, of equal ids the one with the smallest text hash.
 
-    Of rows that share this id the one with the smallest text hash stays; rows without an id, and rows that no link
-    joins, stay.
+    Rows are told apart by id and text, so a different text under a removed row's id stays unless its own component has a
+    better row, and of repeated rows one stays. A row without an id stays only where its component has no other. Rows
+    without words link with nothing and stay.
     """
-    found = join(docs, id_col=id_col, text_col=text_col, percent=percent, n=n)
-    gone = found.where(F.col(id_col).isNotNull() & (F.col(id_col) != F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    names = docs.columns
+    key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    found = join(keyed, id_col="key", text_col="text", percent=percent, n=n)
+    label = found.where("n_shingles > 0").select("key", "component_id").distinct()
+    # Columns by place, so that no name clashes; a row number of 1 is reduced on the map side of its shuffle.
+    frame = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumn("key", F.xxhash64(
+        F.col(f"c{names.index(id_col)}").cast("long"), F.col(f"c{names.index(text_col)}").cast("string")))
+    placed = frame.join(label, "key", "left")
+    best = Window.partitionBy("component_id").orderBy(F.asc_nulls_last(F.col(f"c{names.index(id_col)}").cast("long")), "key")
+    linked = placed.where(F.col("component_id").isNotNull()).withColumn("rank", F.row_number().over(best)).where("rank = 1")
+    alone = placed.where(F.col("component_id").isNull())
+    both = linked.select(*frame.columns).unionByName(alone.select(*frame.columns))
+    return both.select(*(F.col(f"c{i}").alias(name) for i, name in enumerate(names)))

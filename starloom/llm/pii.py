@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.spans import SPAN, matches, outside, settled, spans
+from starloom.llm.spans import PIECE, SPAN, by_piece, free, let, matches, pieces, placed, settled, spans
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns. Possessive quantifiers and look-around only save searching; they find the same leftmost matches. The
@@ -53,24 +53,31 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(spans(f, i, kind) for i, (f, kind) in enumerate(zip(found, KINDS))))
 
 
+NEAR = "array<struct<kind: string, side: int, term: string, start: int, end: int>>"
+
+
 def context(text: Column, base: Column, reach: int) -> Column:
     """Whole words within reach before and after each base span, outside all spans: kind, side, term, start, end.
 
-    Each stands under its side (0 before, 1 after) and under 2 for either side, once for each kind.
+    Each stands under its side (0 before, 1 after) and under 2 for either side, once for each kind. The words come from the
+    pieces of text around a span, and are compared with the spans of those pieces only: work follows the text's length.
     """
-    def near(s: Column) -> Column:
-        first, last = F.greatest(s["start"] - reach, F.lit(0)), F.least(s["end"] + reach, F.length(text))
+    def near(s: Column, cut: Column, parts: Column, size: Column) -> Column:
+        first, last = F.greatest(s["start"] - reach, F.lit(0)), F.least(s["end"] + reach, size)
 
         def words(a: Column, b: Column, side: int) -> Column:
             """Words between two places that go on neither before the first nor after the last place of the reach."""
-            whole = F.filter(matches(F.substring(text, a + 1, b - a), WORD), lambda w: (
-                ((a + w["start"] > first) | (first == 0)) & ((a + w["end"] < last) | (last == F.length(text))) & outside(a + w["start"], a + w["end"], base)))
+            p = F.floor(a / PIECE).cast("int")
+            local = F.array_join(F.slice(cut, p + 1, F.floor(b / PIECE).cast("int") - p + 1), "")
+            whole = F.filter(matches(F.substring(local, a - p * PIECE + 1, b - a), WORD), lambda w: (
+                ((a + w["start"] > first) | (first == 0)) & ((a + w["end"] < last) | (last == size)) & free(a + w["start"], a + w["end"], parts)))
             return F.transform(whole, lambda w: F.struct(s["kind"].alias("kind"), F.lit(side).alias("side"), F.lower(w["match"]).alias("term"), (a + w["start"]).alias("start"), (a + w["end"]).alias("end")))
 
-        one = F.concat(words(first, s["start"], 0), words(s["end"], last, 1))
-        return F.concat(one, F.transform(one, lambda w: w.withField("side", F.lit(2))))
+        return let(F.concat(words(first, s["start"], 0), words(s["end"], last, 1)), lambda one: F.concat(one, F.transform(one, lambda w: w.withField("side", F.lit(2)))))
 
-    return F.array_distinct(F.flatten(F.transform(base, near)))
+    found = let(F.length(text), lambda size: let(pieces(text), lambda cut: let(by_piece(base, F.size(cut)), lambda parts: F.flatten(
+        F.transform(base, lambda s: near(s, cut, parts, size))))))
+    return let(F.array_sort(found), lambda x: F.filter(x, lambda w, i: (i == 0) | (w != F.get(x, i - 1))))
 
 
 def words_of(text: Column) -> Column:
@@ -80,18 +87,17 @@ def words_of(text: Column) -> Column:
 
 def occurrences(text: Column, terms: Column, base: Column) -> Column:
     """Spans of the words of a text that are among the terms and outside base spans; only these are gathered."""
-    pairs = F.zip_with(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD, -1), lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("gap")))
-    none = F.array().cast(f"array<{SPAN}>")
+    pairs = F.zip_with(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD, -1),
+                       lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("gap"), F.length(m).alias("size")))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        one = F.struct(start.alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), end.alias("end"))
-        wanted = F.coalesce(F.array_contains(terms, F.lower(x["m"])), F.lit(False))
-        return F.struct(end.alias("at"), F.when(wanted, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+    def make(x: Column, start: Column) -> Column:
+        return F.when(F.coalesce(F.array_contains(terms, F.lower(x["m"])), F.lit(False)), F.struct(
+            start.alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), (start + x["size"]).alias("end")))
 
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.filter(placed, lambda s: outside(s["start"], s["end"], base))
+    hits = placed(pairs, F.lit(0), f"array<{SPAN}>", make)
+    count = F.greatest(F.ceil(F.length(text) / PIECE).cast("int"), F.lit(1))
+    apart = lambda found: let(by_piece(base, count), lambda parts: F.filter(found, lambda s: free(s["start"], s["end"], parts)))
+    return let(hits, lambda found: F.when((F.size(found) > 0) & (F.size(base) > 0), apart(found)).otherwise(found))
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -103,7 +109,7 @@ def annotate(docs: DataFrame, text_col: str, *, reach: int = 40, support: int =
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     kept = [F.col(c) for c in docs.columns if keep_text or c != text_col]
     first = docs.select(*kept, text.alias("_text"), base_spans(text).alias("base"))
-    near = F.when(F.size("base") > 0, context(F.col("_text"), F.col("base"), reach)).otherwise(F.array().cast("array<struct<kind: string, side: int, term: string, start: int, end: int>>"))
+    near = F.when(F.size("base") > 0, context(F.col("_text"), F.col("base"), reach)).otherwise(F.array().cast(NEAR))
     rows = settled(first.select(*kept, *([] if keep_text else ["_text"]), "base", near.alias("near"),
                                 F.struct(F.xxhash64("_text").alias("a"), F.length("_text").alias("b"), F.crc32("_text").alias("c")).alias("same")), "pii")
     text = text if keep_text else F.col("_text")
