@@ -48,6 +48,7 @@ def turns_of(conversations: DataFrame, id_col: str, turn_col: str, role_col: str
     turns = conversations.select(F.col(id_col).cast("long").alias("c"), F.col(turn_col).alias("turn"), F.xxhash64(role, text).alias("t1"),
                                  F.xxhash64(F.lit("second"), text, role).alias("t2"), words.alias("words")).where("c is not null")
     order = ["c", "turn", "t1", "t2"]
+    turns = settled(turns, "turn-hashes")  # the range partitioning samples its input first: texts are read once
     placed = settled(turns.repartitionByRange(*order).sortWithinPartitions(*order)
                      .select("c", "t1", "t2", "words", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "turns")
     parts = placed.groupBy("c", "part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
