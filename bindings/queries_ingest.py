@@ -153,6 +153,18 @@ def _(b):
     return bronze.conform_schema(raw, ENTITIES["purchase_order_lines"].source_schema)
 
 
+@query("schema_drift", "row_primary_key column_name issue_type corrupted_value", """SELECT purchase_order_line_id AS row_primary_key,
+  'quantity_ordered' AS column_name, 'unparsable' AS issue_type, 'many' AS corrupted_value FROM b_purchase_order_lines WHERE line_number = 7
+UNION ALL SELECT purchase_order_line_id, 'color', 'unknown column', 'c' || line_number FROM b_purchase_order_lines WHERE line_number > 4""")
+def _(b):
+    # The source sends text for a number and a column that the contract does not know: both are kept aside and logged.
+    log, contract = b.log("purchase_order_lines"), ENTITIES["purchase_order_lines"].source_schema
+    quantity = F.when(F.col("line_number") == 7, "many").otherwise(F.col("quantity_ordered").cast("string"))
+    color = F.when(F.col("line_number") > 4, F.concat(F.lit("c"), F.col("line_number").cast("string")))
+    rows = bronze.conform_schema(log.select(*contract.names).withColumns({"quantity_ordered": quantity, "color": color}), contract, "rescued")
+    return bronze.rescued_issues(rows, contract, "purchase_order_lines", "purchase_order_line_id", "rescued")
+
+
 RUN = "run_id pipeline_name layer_name entity_name status rows_affected:i logged_at:t"
 
 

@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.contracts import CONTROL_SCHEMA, schema_of
 from starloom.functions.keys import attribute_hash, surrogate_key
@@ -130,6 +131,31 @@ def test_unparsable_values_become_null(spark):
     assert tuple(row) == (7, None, None)
 
 
+def test_drift_is_rescued_and_logged(spark):
+    raw = spark.createDataFrame([("1", "7", "x", None), ("2", "many", None, "n"), ("3", None, None, None)], "id string, b string, new string, c string")
+    contract = schema_of("id string, b int, c date, d int")
+    rows = bronze.conform_schema(raw, contract, "rescued")
+    assert [tuple(r) for r in rows.collect()] == [("1", 7, None, None, {"new": "x"}), ("2", None, None, None, {"b": "many", "c": "n"}), ("3", None, None, None, None)]
+    log = {(r.row_primary_key, r.column_name, r.issue_type, r.corrupted_value) for r in bronze.rescued_issues(rows, contract, "t", "id", "rescued").collect()}
+    assert log == {("1", "new", "unknown column", "x"), ("2", "b", "unparsable", "many"), ("2", "c", "unparsable", "n")}
+
+
+def test_types_widen_and_no_column_goes(spark):
+    ddl = T.StructType.fromDDL
+    stored, seen = ddl("a tinyint, b int, c float, d date, e decimal(10,2), f int, g int"), ddl("a int, b double, c double, d timestamp_ntz, e bigint, f string, h int")
+    assert bronze.widen(stored, seen) == ddl("a int, b double, c double, d timestamp_ntz, e decimal(21,2), f string, g int, h int")
+    assert bronze.widen(seen, stored).fieldNames() == ["a", "b", "c", "d", "e", "f", "h", "g"]
+    assert all(bronze.wider(x, y) == bronze.wider(y, x) for x in (f.dataType for f in stored) for y in (f.dataType for f in seen))
+
+
+def test_landing_with_and_without_a_batch_id_is_one_layout(spark):
+    root = fresh_dir(spark, "bronze")
+    bronze.land_changes(log_rows(spark, 10), root, "log", "b1")
+    for _ in range(2):
+        bronze.land_changes(log_rows(spark, 5, 10), root, "log")
+    assert bronze.read_bronze_dates(spark, root, "log", datetime(1900, 1, 2), LOG).count() == 20
+
+
 def test_watermark_leaves_the_buffer(spark):
     marks = control.update_watermark(control.empty_watermarks(spark), "silver", "t", log_rows(spark, 3), "r", NOW, "seq")
     assert control.get_watermark(marks, "silver", "t") == NOW + timedelta(hours=14) - timedelta(minutes=15)
