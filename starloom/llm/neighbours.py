@@ -14,8 +14,9 @@ visited leaves (a matrix product proposes, cosines in double precision decide) a
 (bounded by the sample), the numbers of rows and queries of leaves and shards and the calibration queries' answers are
 on the driver.
 
-Defined results: vectors that are null, of length 0 or another length than the first valid vector's, zero, or with
-null or non-finite components take no part, neither as queries nor as candidates; ties go to the smaller id; a query
+Defined results: vectors that are null, of length 0 or another length than the commonest one (the smaller of equally
+common ones), zero, or with null or non-finite components take no part, neither as queries nor as candidates; ties go to
+the smaller id; a query
 with fewer than k candidates gets them all; rows that repeat an id count as one (its smallest vector); empty tables give
 empty results. Only id and vector are read.
 """
@@ -159,14 +160,17 @@ def search(table: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector
     rows = valid(table.where(F.col(id_col).isNotNull()), id_col, vector_col)
     queries = valid(table.where(is_query), id_col, vector_col)
     out = f"query_id long, {id_col} long, score double"
-    first = rows.orderBy(F.xxhash64("id"), "id").select(F.size("v").alias("dims")).limit(1).collect()
-    if not first:
+    lengths = rows.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").limit(1).collect()
+    if not lengths:
         return table.sparkSession.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
-    dims = first[0]["dims"]
+    dims = lengths[0]["dims"]
     one = lambda t: t.where(F.size("v") == dims).groupBy("id").agg(F.min("v").alias("v"))  # noqa: E731  one row per id
     rows, queries = one(rows), one(queries)
     total = rows.count()
-    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()
+    # The smallest hashes; those above the part of the range that holds a third more than the sample are left out before any sort.
+    part = min(1.0, (1.3 * sample + 1000) / max(1, total))
+    few = rows.where(F.xxhash64("id") <= F.lit(min(2**63 - 1, int(-(2**63) + part * 2**64))))
+    drawn = few.orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()
     drawn = stacked(drawn.column("v").combine_chunks(), dims)
     drawn = drawn / np.sqrt((drawn**2).sum(axis=1, keepdims=True))
     tree = table.sparkSession.sparkContext.broadcast(Tree(drawn, min(MAX_LEAVES, max(1, total // leaf_rows)), branching))

@@ -382,6 +382,9 @@ def test_neighbours_match_brute_force(spark, copies):
         found += len({i for i, _ in got[q]} & set(want))
     assert len(got) == len(range(0, len(v), 50)) and found >= 0.9 * 5 * len(got)
     assert neighbours.search(table.where("false"), F.col("vec_id") % 50 == 0).count() == 0
+    odd = table.select("vec_id", "embedding").where("vec_id < 200").unionByName(
+        table.sparkSession.createDataFrame([(-i, [1.0] * 3) for i in range(1, 60)], "vec_id long, v array<double>").select("vec_id", F.col("v").cast(table.schema["embedding"].dataType).alias("embedding")))
+    assert neighbours.search(odd, F.col("vec_id") == 0).where("vec_id < 0").count() == 0  # the commonest length counts
     assert neighbours.search(table.where("vec_id < 3"), F.col("vec_id") == 0).count() == 2
 
 
