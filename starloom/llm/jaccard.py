@@ -3,17 +3,19 @@
 A document's set holds the distinct hashes of its word n-grams. Two documents link when 100 * |A and B| is at least
 ``percent`` * |A or B|, that is when their symmetric difference is at most (|A| + |B|)(100 - percent)/(100 + percent).
 
-1. Sets. One pass over the texts writes, for each document, the set's size, a 128-bit digest, a parity sketch (n-grams
-   XOR-hashed into 1 to 2 bits for each of them) and the sketch's band keys. Documents of equal digest are one set.
+1. Sets. One pass over the texts writes, for each document, the set's size, a 128-bit digest and a parity sketch (n-grams
+   XOR-hashed into 1 to 2 bits for each of them). Documents of equal digest are one set.
 2. Bands. Sizes fall into overlapping groups such that linked sets share one. A group cuts the hash space into parts;
    the parity of a part's n-grams (64 bits, and their number) is a band. Sets that differ in at most D n-grams agree in
    all but D bands, so a set publishes its richest bands, more than D of them: by the pigeonhole principle linked sets
-   publish a common one. (If A needs bands of at least x n-grams and B of at least y >= x, then more than D of B's bands
-   have y or more, one of them is untouched, and A publishes it too.) Bands meet by key in binary packs, so the shuffle
-   moves a few rows for each task and 16 bytes for each band.
-3. Families. The members of a key's bucket meet under its smallest member, once for all their common keys. There the
-   Hamming distance of the sketches, a lower bound of the symmetric difference, rules pairs out; what remains is
-   reported as a spanning forest, never as pairs. Families are its components.
+   publish a common one. (Bands are in one order, by number of n-grams and key. If B's last band is not before A's, more
+   than D bands of B are there or further up, one of them is untouched, and A publishes it too.) Bands are never written: a second pass over the
+   texts deals them into binary packs, where they meet by key. A pack is part of a key's value, so 4 more bytes tell the
+   keys of a pack apart, and the shuffle moves a few rows for each task and 10 bytes for each band.
+3. Families. The members of a key's bucket, in order of size, are cut where a gap is too wide for a link, and each run
+   meets under its smallest member, once for all their common keys. There the Hamming distance of the sketches, a lower
+   bound of the symmetric difference, rules pairs out; what remains is reported as a spanning forest, never as pairs.
+   Families are its components.
 4. Verification. All pairs of a family's sets are compared exactly. Links are counted for each set, weighted by the
    documents that share a set; components of a spanning forest of the links are the result.
 
@@ -47,9 +49,11 @@ SKETCH_BLOCK = 1024
 SET_BLOCK = 256
 #: N-grams whose sets are multiplied at once in an exact comparison.
 GRAM_BLOCK = 4096
-#: Band keys that a pack of the shuffle holds about, and that a map task gathers before it deals them out. Packs are small, so
-#: that near copies meet in a pack about once for each common band at every size of the corpus.
-PACK_KEYS, GATHER_KEYS = 100_000, 500_000
+#: N-grams whose bands are a pack of the shuffle, and band keys that a map task gathers before it deals them out. Packs are
+#: small, so that near copies meet in a pack about once for each common band at every size of the corpus.
+PACK_GRAMS, GATHER_KEYS = 200_000, 500_000
+#: A set's code has this many bytes; the low bits are its size on a logarithmic scale of so many steps.
+CODE_BYTES, SIZE_BITS, SIZE_STEPS = 6, 12, 128
 
 
 def shingles(texts: list[bytes], n: int = WORDS) -> list[np.ndarray]:
@@ -72,7 +76,7 @@ def shingles(texts: list[bytes], n: int = WORDS) -> list[np.ndarray]:
 class Bands:
     """Size groups, parts and band keys for a threshold of ``percent``."""
 
-    def __init__(self, percent: int, stride: float = 1.5, spread: float = 1.05):
+    def __init__(self, percent: int, stride: float = 1.5, spread: float = 1.3):
         self.percent, self.reach = percent, log(100 / percent)
         self.stride, self.spread = stride * self.reach, spread
 
@@ -98,9 +102,8 @@ class Bands:
             size = np.bincount(part, minlength=parts)
             parity = np.zeros(parts, np.uint64)
             np.bitwise_xor.at(parity, part, np.uint64(1) << (own & np.uint64(63)))
-            level = np.partition(size, parts - 1 - need)[parts - 1 - need] if need < parts else 0
-            chosen = np.flatnonzero(size >= level)
-            out.append(mix(mix(parity[chosen] + size[chosen].astype(np.uint64)) ^ mix((chosen + (g << 40) + 1).astype(np.uint64))))
+            key = mix(mix(parity + size.astype(np.uint64)) ^ mix((np.arange(parts) + (g << 40) + 1).astype(np.uint64)))
+            out.append(key[np.lexsort((key, size))[-need - 1 :]])
         return np.concatenate(out)
 
 
@@ -122,47 +125,47 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return np.stack(rows)
 
 
-def read_sets(docs: DataFrame, id_col: str, text_col: str, percent: int, n: int) -> DataFrame:
-    """One written row per document: row, id, size, digest, code (8 bytes of the digest), sketch, bands.
+def digest_of(own: np.ndarray) -> bytes:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
-    Bands are left out where the same task has published them for an equal set.
-    """
-    bands = Bands(percent)
+
+def code_of(digest: bytes, size: int) -> int:
+    """36 bits of a set's digest and the place of its size on a logarithmic scale. Sets that share a code only meet more often."""
+    place = min(int(log(max(size, 1)) * SIZE_STEPS), (1 << SIZE_BITS) - 1)
+    return int.from_bytes(digest[:CODE_BYTES], "little") >> SIZE_BITS << SIZE_BITS | place
+
+
+def read_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """One written row per document: row, id, size, digest, code, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        published: set[bytes] = set()
         for batch in batches:
             texts, rows = texts_of(batch.column(2)), []
             for part in packs(texts):
                 for own in shingles(texts[part], n):
-                    digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                    keys = None
-                    if digest not in published:
-                        if len(published) > 500_000:
-                            published.clear()
-                        published.add(digest)
-                        keys = bands.keys(own).tobytes() or None
-                    rows.append((len(own), digest.hex(), int.from_bytes(digest[:8], "little", signed=True), sketch(own), keys))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary())
+                    digest = digest_of(own)
+                    rows.append((len(own), digest.hex(), code_of(digest, len(own)), sketch(own)))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))],
-                                             names=["row", "id", "size", "digest", "code", "sketch", "bands"])
+                                             names=["row", "id", "size", "digest", "code", "sketch"])
 
     small = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return settled(small.mapInArrow(run, "row long, id long, size long, digest string, code long, sketch binary, bands binary"), "sets")
+    return settled(small.mapInArrow(run, "row long, id long, size long, digest string, code long, sketch binary"), "sets")
 
 
-def led(sets: DataFrame) -> DataFrame:
-    """(leader, code): sets that publish a common band key, under the smallest code that publishes it.
+def led(texts: DataFrame, grams: int, percent: int, n: int) -> DataFrame:
+    """(leader, code): sets that publish a common band key and are near in size, under the smallest such code.
 
-    All members of a key's bucket are under one leader, so every candidate pair meets there; the thousands of keys that
-    near copies of long texts share are one row for each copy.
+    All members of a run meet under one leader, so every candidate pair does; the thousands of keys that near copies of
+    long texts share are one row for each copy. ``texts`` is the column of texts, ``grams`` the sizes of their sets
+    together. A task publishes the bands of equal sets once.
     """
-    published = sets.where(F.col("bands").isNotNull()).select("code", "bands")
-    total = published.agg(F.coalesce(F.sum(F.length("bands")), F.lit(0))).first()[0] // 8
-    pack_count = max(1, total // PACK_KEYS)
+    bands = Bands(percent)
+    pack_count = max(1, grams // PACK_GRAMS)
+    gap = ceil(bands.reach * SIZE_STEPS) + 1  # linked sets are at most so far apart
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, published = [], 0, set()
 
         def out() -> pa.RecordBatch:
             keys, codes = np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])
@@ -171,34 +174,50 @@ def led(sets: DataFrame) -> DataFrame:
             keys, codes, ends = keys[order], codes[order], np.searchsorted(pack[order], np.arange(pack_count + 1))
             full = np.flatnonzero(np.diff(ends))
             cut = lambda x: pa.array([x[ends[p] : ends[p + 1]].tobytes() for p in full], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(full), cut(keys), cut(codes)], names=["pack", "keys", "codes"])
+            high, narrow = (keys >> np.uint64(32)).astype(np.uint32), codes.view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES]
+            return pa.RecordBatch.from_arrays([pa.array(full), cut(high), cut(narrow)], names=["pack", "keys", "codes"])
 
         for batch in batches:
-            for code, bands in zip(batch.column(0).to_numpy(), batch.column(1)):
-                keys = np.frombuffer(bands.as_buffer(), np.uint64)
-                held.append((keys, np.full(len(keys), code)))
-                size += len(keys)
-                if size > GATHER_KEYS:
-                    yield out()
-                    held, size = [], 0
-        if held:
+            found = texts_of(batch.column(0))
+            for part in packs(found):
+                for own in shingles(found[part], n):
+                    digest = digest_of(own)
+                    if digest in published or not len(own):
+                        continue
+                    if len(published) > 500_000:
+                        published.clear()
+                    published.add(digest)
+                    keys = bands.keys(own)
+                    held.append((keys, np.full(len(keys), code_of(digest, len(own)))))
+                    size += len(keys)
+                    if size > GATHER_KEYS:
+                        yield out()
+                        held, size = [], 0
+        if size:
             yield out()
 
     def meet(group: pa.Table) -> list[pa.Array]:
-        keys = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("keys")])
-        codes = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in group.column("codes")])
-        order = np.lexsort((codes, keys))
-        keys, codes = keys[order], codes[order]
+        keys = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in group.column("keys")])
+        wide = np.zeros((len(keys), 8), np.uint8)
+        wide[:, :CODE_BYTES] = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in group.column("codes")]).reshape(-1, CODE_BYTES)
+        codes = wide.view(np.int64).ravel()
+        place = codes & ((1 << SIZE_BITS) - 1)
+        order = np.lexsort((codes, place, keys))
+        keys, codes, place = keys[order], codes[order], place[order]
         fresh = np.concatenate(([True], (keys[1:] != keys[:-1]) | (codes[1:] != codes[:-1])))
-        keys, codes = keys[fresh], codes[fresh]
-        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        ends = np.append(starts[1:], len(keys))
-        leader = np.repeat(codes[starts], ends - starts)
-        shared = np.repeat(ends - starts > 1, ends - starts)
-        pairs = np.unique(np.stack((leader[shared], codes[shared])), axis=1)
-        return [pa.array(pairs[0]), pa.array(pairs[1])]
-
-    dealt = published.mapInArrow(deal, "pack long, keys binary, codes binary")
+        keys, codes, place = keys[fresh], codes[fresh], place[fresh]
+        starts = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (np.diff(place) > gap))))
+        length = np.diff(np.append(starts, len(keys)))
+        leader = np.repeat(np.minimum.reduceat(codes, starts), length)
+        shared = np.repeat(length > 1, length)
+        leader, codes = leader[shared], codes[shared]
+        order = np.lexsort((codes, leader))
+        leader, codes = leader[order], codes[order]
+        fresh = np.ones(len(codes), bool)
+        fresh[1:] = (leader[1:] != leader[:-1]) | (codes[1:] != codes[:-1])
+        return [pa.array(leader[fresh]), pa.array(codes[fresh])]
+
+    dealt = texts.mapInArrow(deal, "pack long, keys binary, codes binary")
     return each_group(dealt, ["pack"], meet, "leader long, code long").distinct()
 
 
@@ -276,10 +295,12 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     With ``links`` also n_links, the number of other documents (rows) that it links with directly, equal texts included.
     """
     small_batches(docs.sparkSession)
-    sets = read_sets(docs, id_col, text_col, percent, n)
+    sets = read_sets(docs, id_col, text_col, n)
     # One row for each set: its first row stands for it.
     one = settled(sets.groupBy("digest").agg(F.min_by(F.struct("row", "id", "size", "code", "sketch"), "row").alias("s"), F.count("*").alias("copies")).select("digest", "s.*", "copies"), "distinct-sets")
-    met = in_blocks(settled(led(sets), "candidates"), "leader", "code", SKETCH_BLOCK).join(one.select("code", "row", "size", "sketch"), "code")
+    grams = sets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    candidates = settled(led(docs.select(F.col(text_col).cast("string").alias("text")), grams, percent, n), "candidates")
+    met = in_blocks(candidates, "leader", "code", SKETCH_BLOCK).join(one.select("code", "row", "size", "sketch"), "code")
     near = each_group(met, ["leader", "i", "j"], linked(percent), "a long, b long")
     family = components(near)
     members = settled(family.join(one.select(F.col("row").alias("id"), F.col("id").alias("doc"), "digest", "size", "copies"), "id")
