@@ -6,6 +6,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from math import ceil
 
 import duckdb
 import numpy as np
@@ -170,6 +171,19 @@ def test_bands_meet_for_every_linked_pair():
                 assert set(bands.keys(a).tolist()) & set(bands.keys(b).tolist())
 
 
+def test_codes_of_linked_sizes_are_near_and_bands_are_few():
+    for percent in (80, 85):
+        bands, numbers = jaccard.Bands(percent), np.random.default_rng(2)
+        gap = ceil(bands.reach * jaccard.SIZE_STEPS) + 1
+        for n in (3, 20, 77, 500, 3000):
+            large = n * 100 // percent
+            place = [jaccard.code_of(bytes(16), size) & ((1 << jaccard.SIZE_BITS) - 1) for size in (n, large)]
+            assert 0 <= place[1] - place[0] <= gap
+            own = np.unique(numbers.integers(1, 2**63, n, dtype=np.uint64))
+            need = bands.most(n + large)
+            assert len(bands.keys(own)) <= len(bands.groups(n)) * (need + 1)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i + 1, i) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(7, 7)]
     got = {r["id"]: r["label"] for r in graph.components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
