@@ -105,12 +105,11 @@ def no_overlap(dim: DataFrame, natural: str, unknown: str = "-1") -> DataFrame:
     return overlaps(versions, ["clave_natural"], "valido_desde", "valido_hasta")
 
 
-def _note(rule: int, value: Column, sample: Column | None = None, failed: int = 0, rows: int = 0, known: int = 0) -> Column:
-    """What a row says about a rule: the value it is about, its text for the log, and whether it fails by itself, carries
-    the value, or knows it as a parent."""
+def _note(rule: int, value: Column, failed: int = 0, rows: int = 0, known: int = 0) -> Column:
+    """What a row says about a rule: the value it is about, and whether it fails by itself, carries the value, or knows it
+    as a parent."""
     counts = [F.lit(n).cast("bigint").alias(name) for n, name in ((failed, "failed"), (rows, "rows"), (known, "known"))]
-    return F.struct(F.lit(rule).alias("rule"), value.cast("string").alias("value"),
-                    (value if sample is None else sample).cast("string").alias("sample"), *counts)
+    return F.struct(F.lit(rule).alias("rule"), value.cast("string").alias("value"), *counts)
 
 
 def _notes(table: str, rules: Sequence[Rule], child: bool = True, parent_of: bool = True) -> list[Column]:
@@ -129,8 +128,7 @@ def _notes(table: str, rules: Sequence[Rule], child: bool = True, parent_of: boo
         elif r.kind == "unique":
             notes.append(F.when(c.isNotNull(), _note(i, c, rows=1)))
         elif r.kind == "unique_combination":  # NULL counts as a value here
-            whole = F.to_json(F.array(*[F.col(x).cast("string") for x in r.columns]))
-            notes.append(_note(i, whole, F.concat_ws("|", *r.columns), rows=1))
+            notes.append(_note(i, c if len(r.columns) == 1 else F.to_json(F.array(*[F.col(x).cast("string") for x in r.columns])), rows=1))
         else:
             notes.append(F.when(breaks(r.kind, c, r.args), _note(i, c, failed=1)))
     return notes
@@ -152,6 +150,7 @@ def _value_verdicts(tables: Mapping[str, DataFrame], rules: Sequence[Rule], pare
 
     Each table is scanned once, whatever rules use it: its rows say what they have to say about all of them, partial
     counts by (rule, value) are taken before the only shuffle, and children meet their parents' keys there without a join.
+    Only numbers are aggregated, so the counts are hashed and no row is sorted; the log's text is made of failing values.
     """
     said = []
     for table in dict.fromkeys(t for r in rules for t in (r.table, r.args.get("to", r.table))):
@@ -161,14 +160,18 @@ def _value_verdicts(tables: Mapping[str, DataFrame], rules: Sequence[Rule], pare
     stacked = None
     for frame, notes in said:
         if notes:
-            one = frame.select(F.explode(F.array_compact(F.array(*notes))).alias("x")).select("x.*")
+            one = frame.select(F.explode(F.array(*notes)).alias("x")).filter(F.col("x").isNotNull()).select("x.*")
             stacked = one if stacked is None else stacked.unionByName(one)
-    met = stacked.groupBy("rule", "value").agg(F.min("sample").alias("sample"), *[F.sum(c).alias(c) for c in ("failed", "rows", "known")])
+    met = stacked.groupBy("rule", "value").agg(*[F.sum(c).alias(c) for c in ("failed", "rows", "known")])
+    one, many = (F.col("rule").isin([i for i, r in enumerate(rules) if r.kind == "unique_combination" and (len(r.columns) > 1) == several])
+                 for several in (False, True))
+    sample = (F.when(many, F.concat_ws("|", F.from_json("value", "array<string>")))
+              .when(one, F.coalesce("value", F.lit(""))).otherwise(F.col("value")))
     numbers = {kind: [i for i, r in enumerate(rules) if r.kind in kind] for kind in (("unique", "unique_combination"), ("relationship",))}
     twice, child = (F.col("rule").isin(n) for n in numbers.values())
     failed = (F.when(twice, F.when(F.col("rows") > 1, 1).otherwise(0))
               .when(child, F.when(F.col("known") == 0, F.col("rows")).otherwise(0)).otherwise(F.col("failed")))
-    return met.select("rule", "value", "sample", failed.cast("bigint").alias("failed")).filter("failed > 0")
+    return met.select("rule", "value", failed.cast("bigint").alias("failed")).filter("failed > 0").select("rule", "value", sample.alias("sample"), "failed")
 
 
 def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None) -> DataFrame:

@@ -142,3 +142,18 @@ def test_issue_log_lists_every_defect_of_a_row(spark):
         quality.IssueRule("negative", "b", F.col("b") < 0, "low"), quality.IssueRule("big", "b", F.col("b") > 3, "low")])
     got = {(r.row_primary_key, r.issue_type, r.corrupted_value, r.original_clean_value) for r in log.collect()}
     assert got == {("r1", "missing", None, "0"), ("r1", "big", "4", None), ("r2", "negative", "-1", None)}
+
+
+def test_the_suite_hashes_its_counts_and_sorts_no_rows(spark, parent, child):
+    rules = [Rule("silver", "child", "unique", ("id",)), Rule("silver", "child", "relationship", ("parent",), ERROR, {"to": "parent", "field": "id"}),
+             Rule("silver", "child", "unique_combination", ("id",)), Rule("silver", "child", "not_null", ("code",))]
+    text = quality._value_verdicts({"child": child, "parent": parent}, rules, {})._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "Sort [" not in text and text.count("HashAggregate") == 2
+    assert "lambda" not in text  # notes are made and spread by generated code
+
+
+def test_a_combination_of_one_column_counts_null_as_a_value(spark):
+    t = spark.createDataFrame([(None,), (None,), ("a",), ("b",), ("b",)], "a string")
+    rules = [Rule("silver", "t", "unique_combination", ("a",)), Rule("silver", "t", "unique", ("a",))]
+    got = {r.test_name: (r.failed_rows, r.sample_value) for r in quality.run_suite({"t": t}, rules).collect()}
+    assert got == {"unique_combination_t_a": (2, ""), "unique_t_a": (1, "b")}
