@@ -5,7 +5,7 @@ import re
 import pytest
 
 from bindings.binding import Binding
-from starloom.operators import cdc
+from starloom.operators import cdc, fact
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,3 +50,14 @@ def test_no_cross_joins_and_no_python(b, make):
     text = plan(make(b))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "SinglePartition"):
         assert node not in text
+
+
+def test_header_attributes_are_looked_up_before_lines_meet_their_headers(b, monkeypatch):
+    seen = {}
+    for name in ("scd1_lookup", "scd2_lookup"):
+        def spied(rows, dim, natural, *rest, look=getattr(fact, name), **options):
+            seen[natural] = fact.LINE_KEY in rows.columns
+            return look(rows, dim, natural, *rest, **options)
+        monkeypatch.setattr(fact, name, spied)
+    b.fact()
+    assert seen == {"cliente_id": False, "canal_id": False, "sucursal_id": False, "producto_id": True}
