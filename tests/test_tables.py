@@ -182,3 +182,16 @@ def test_keys_of_long_parts_differ(spark):
     rows = spark.createDataFrame([("a" * 400 + x,) for x in "bc"], "t string")
     assert rows.select(surrogate_key(F.col("t"))).distinct().count() == 2
     assert rows.select(attribute_hash(F.col("t"))).distinct().count() == 2
+
+
+def test_a_single_batch_is_read_and_written_without_ranking(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"])
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    table.upsert(rows, 1, unique=True)
+    assert "Window" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in table.lookup(rows.filter("k > 1").select("k")).collect()} == {(2, "b"), (3, "c")}
+    table.upsert(rows.filter("k = 1").withColumn("v", F.lit("z")), 2, removed=rows.filter("k = 2").select("k"), unique=True)
+    assert {tuple(r) for r in table.read().collect()} == {(1, "z"), (3, "c")}
+    assert {tuple(r) for r in table.read(before=2).collect()} == {(1, "a"), (2, "b"), (3, "c")}
+    table.upsert(rows.unionAll(rows), 3)  # rows that may repeat are still reduced to one for each key
+    assert table.read_batch(3).count() == 3
