@@ -25,10 +25,12 @@ own; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 from dataclasses import dataclass
 
 import numpy as np
@@ -184,22 +186,26 @@ class Lattices:
 
     def other(self, chunk: int, taken: list[tuple[int, ...]], noise: np.uint64) -> tuple[list[int], float]:
         """A path of a chunk that is none of ``taken``, with its log probability: each step weighs what is left beyond it."""
-        node, path, log, number = int(self.start[chunk]), [], 0.0, 0
-        while node != self.end[chunk]:
-            depth = len(path)
-            edges = range(int(self.begin[node]), int(self.begin[node + 1]))
-            mass = []
-            for e in edges:
-                beyond = [t for t in taken if len(t) > depth and t[depth] == e]
-                gone = sum(np.exp(sum(self.log[x] for x in t[depth + 1 :])) for t in beyond)
-                open_ = self.paths[self.target[e]] > len(beyond)
-                mass.append(np.exp(self.log[e]) * max(1 - gone, 1e-15) if open_ else 0.0)
-            pick = np.searchsorted(np.cumsum(mass), uniform(np.array([(int(noise) + number) % 2**64], np.uint64))[0] * sum(mass), side="right")
-            edge = edges[min(int(pick), max(i for i, x in enumerate(mass) if x > 0))]
-            taken = [t for t in taken if len(t) > depth and t[depth] == edge]
+        node, end, path, log = int(self.start[chunk]), int(self.end[chunk]), [], 0.0
+        draws = uniform(noise + np.arange(end - node, dtype=np.uint64))  # a path has no more steps than the chunk has bytes
+        held = [(t, self.log[list(t)].tolist()) for t in taken]
+        while node != end:
+            depth, first, stop = len(path), int(self.begin[node]), int(self.begin[node + 1])
+            gone, beyond = [0.0] * (stop - first), [0] * (stop - first)
+            for t, logs in held:
+                gone[t[depth] - first] += math.exp(sum(logs[depth + 1 :]))
+                beyond[t[depth] - first] += 1
+            edges = zip(self.log[first:stop].tolist(), gone, self.paths[self.target[first:stop]].tolist(), beyond)
+            mass = [math.exp(x) * max(1 - g, 1e-15) if n > m else 0.0 for x, g, n, m in edges]
+            steps = list(accumulate(mass))
+            pick = bisect_right(steps, float(draws[depth]) * sum(mass))
+            if pick == len(mass):
+                pick = max(i for i, x in enumerate(mass) if x > 0)
+            edge = first + pick
+            held = [(t, logs) for t, logs in held if len(t) > depth + 1 and t[depth] == edge]
             path.append(edge)
             log += self.log[edge]
-            node, number = int(self.target[edge]), number + 1
+            node = int(self.target[edge])
         return path, float(log)
 
 

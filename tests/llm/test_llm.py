@@ -502,3 +502,10 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
         before = after
     assert before.where("not exact").count() == 0 and before.where("doc_id = 100001").count() == 1
     assert queries()["pipeline"](spark, SF).columns == before.columns
+
+
+def test_the_query_of_pieces_gives_out_the_ids_it_samples(spark, tmp_path):
+    spark.createDataFrame([(1, "the cat sat"), (2, None), (3, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op5_pieces"](spark, str(tmp_path))
+    back = pieces.decode(rows.select("doc_id", "ids"))
+    assert {(r["doc_id"], r["text"]) for r in back.collect()} == {(1, "the cat sat"), (2, ""), (3, "")}
