@@ -27,10 +27,9 @@ from __future__ import annotations
 import hashlib
 import math
 import os
-import re
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,12 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.scan import RAW_BYTES, mix, packs, powers, small_batches, texts_of
+from starloom.llm.scan import mix, packs, small_batches, texts_of
 
-CHUNK = re.compile(rb" *[^ ]+| +")
 BLOCK_CHARACTER = "▁"
 #: Bytes of text for which lattices are built together.
 LATTICE_BYTES = 2 << 20
+#: Bytes of chunks whose edges are found together; a block holds this many chunks at least, as its steps follow its longest.
+BLOCK_BYTES, BLOCK_CHUNKS = 1 << 16, 256
 
 
 def default_model() -> str:
@@ -53,26 +53,47 @@ def default_model() -> str:
 
 
 class Vocabulary:
-    """Pieces as bytes, their log weights, and tables of piece hashes by length."""
+    """Pieces as bytes, their log weights, and a trie of them: its steps (node, byte) in a hashed table, node 0 the root."""
 
     def __init__(self, pieces: list[bytes | None], byte_ids: list[int], shift: float, sharpness: float):
         self.pieces, self.byte_ids = pieces, np.array(byte_ids)
         self.weight = -sharpness * np.log(np.arange(len(pieces)) + shift)
         self.byte_weight = float(self.weight.min())
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         spelt = set(byte_ids)
-        lengths: dict[int, list[int]] = {}
+        steps: dict[int, int] = {}
+        piece_at: dict[int, int] = {}
         for i, p in enumerate(pieces):
             if p and i not in spelt:
-                lengths.setdefault(len(p), []).append(i)
-        for n, ids in lengths.items():
-            data = np.frombuffer(b"".join(pieces[i] for i in ids), np.uint8)
-            at = np.arange(len(ids)) * n
-            codes = Running(data).hashes(at, at + n)
-            low = (codes & np.uint64(0xFFFF)).astype(np.int64)
-            order = np.argsort(low, kind="stable")
-            # Where the codes of each value of the low bits begin; few values have more than one.
-            self.by_length[n] = codes[order], np.array(ids)[order], np.searchsorted(low[order], np.arange((1 << 16) + 1)).astype(np.int32)
+                node = 0
+                for b in p:
+                    node = steps.setdefault(node << 8 | b, len(steps) + 1)
+                piece_at.setdefault(node, i)
+        self.piece_at = np.full(len(steps) + 1, -1)
+        self.piece_at[list(piece_at)] = list(piece_at.values())
+        keys, following = (np.fromiter(x, np.int64, len(steps)) for x in (steps, steps.values()))
+        self.shift = np.uint64(64 - max(8, (4 * len(steps)).bit_length()))
+        slot = self.slots(keys)
+        order = np.argsort(slot, kind="stable")
+        # Where the steps of each slot begin; few slots have more than one.
+        self.keys, self.following = keys[order], following[order]
+        self.begins = np.searchsorted(slot[order], np.arange((1 << 64 - int(self.shift)) + 1)).astype(np.int32)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The nodes that bytes lead to, -1 where no piece goes on."""
+        keys = node << 8 | byte
+        slot = self.slots(keys)
+        place, stop, out = self.begins[slot], self.begins[slot + 1], np.full(len(node), -1)
+        near = np.flatnonzero(place < stop)
+        place, stop, keys = place[near], stop[near], keys[near]
+        while len(near):
+            same = self.keys[place] == keys
+            out[near[same]] = self.following[place[same]]
+            more = np.flatnonzero(~same & (place + 1 < stop))
+            near, place, stop, keys = near[more], place[more] + 1, stop[more], keys[more]
+        return out
 
     @classmethod
     def load(cls, model_file: str, shift: float, sharpness: float) -> Vocabulary:
@@ -95,52 +116,62 @@ class Vocabulary:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-class Running:
-    """Running hash of bytes."""
-
-    def __init__(self, data: np.ndarray):
-        up, self.down = powers(len(data))
-        self.sum = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(RAW_BYTES[data] * up[: len(data)], out=self.sum[1:])
-
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sum[end] - self.sum[start]) * self.down[start] + (end - start).astype(np.uint64))
-
-
 class Lattices:
-    """The lattices of different chunks, laid out one after another: nodes are byte positions, one more for each end."""
+    """The lattices of different chunks, laid out one after another: nodes are byte positions, one more for each end.
+
+    Edges are found in blocks of chunks, so that only what walks need is held for all. Chunks come by descending length.
+    """
 
     def __init__(self, chunks: list[bytes], vocabulary: Vocabulary):
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
+        self.end = np.cumsum(size) - 1
+        self.start = self.end - size + 1
+        begins, targets, pieces, logs, shares, paths, a, edges = [], [], [], [], [], [], 0, 0
+        while a < len(chunks):
+            limit = max(BLOCK_BYTES, BLOCK_CHUNKS * int(size[a]))
+            b = max(a + 1, int(np.searchsorted(self.end, self.start[a] + limit)))
+            begin, target, piece, log, share, ways = self.block(chunks[a:b], size[a:b], vocabulary)
+            begins.append(begin[:-1] + edges)
+            targets.append((target + self.start[a]).astype(np.int32))
+            pieces.append(piece.astype(np.int32))
+            logs.append(log)
+            shares.append(share)
+            paths.append(ways)
+            edges += len(log)
+            a = b
+        self.begin = np.append(np.concatenate(begins), edges)
+        self.target, self.piece, self.log, self.share, self.paths = (np.concatenate(x) for x in (targets, pieces, logs, shares, paths))
+
+    @staticmethod
+    def block(chunks: list[bytes], size: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, ...]:
+        """Of some chunks: where each node's edges begin, the edges' targets, pieces, log probabilities and shares, each node's paths."""
         data = np.frombuffer(b"\0".join(chunks) + b"\0", np.uint8)
-        size = np.fromiter((len(c) for c in chunks), np.int64, len(chunks))
-        self.end = np.cumsum(size + 1) - 1
-        self.start = self.end - size
-        left = np.repeat(self.end, size + 1) - np.arange(len(data))  # bytes to the chunk's end
-        hashes, source, target, piece = Running(data), [], [], []
+        left = np.repeat(np.cumsum(size) - 1, size) - np.arange(len(data))  # bytes to the chunk's end
+        source, target, piece = [], [], []
         lead = (data & 0xC0) != 0x80
         width = np.where(data < 0x80, 1, np.where(data < 0xE0, 2, np.where(data < 0xF0, 3, 4)))
         known = ~lead | (left == 0)
-        for n, (codes, ids, begins) in vocabulary.by_length.items():
-            at = np.flatnonzero(lead & (left >= n))
-            own = hashes.hashes(at, at + n)
-            low = (own & np.uint64(0xFFFF)).astype(np.int64)
-            place, stop = begins[low], begins[low + 1]
-            near = np.flatnonzero(place < stop)
-            at, own, place, stop = at[near], own[near], place[near], stop[near]
-            while len(at):
-                same = codes[place] == own
-                source.append(at[same])
-                target.append(at[same] + n)
-                piece.append(ids[place[same]])
-                known[at[same][width[at[same]] == n]] = True
-                more = np.flatnonzero(~same & (place + 1 < stop))
-                at, own, place, stop = at[more], own[more], place[more] + 1, stop[more]
+        at, n = np.flatnonzero(lead & (left > 0)), 0
+        node = np.zeros(len(at), np.int64)
+        while len(at):  # all bytes that go on along the trie
+            node = vocabulary.step(node, data[at + n])
+            n += 1
+            on = np.flatnonzero(node >= 0)
+            at, node = at[on], node[on]
+            ids = vocabulary.piece_at[node]
+            some = np.flatnonzero(ids >= 0)
+            source.append(at[some])
+            target.append(at[some] + n)
+            piece.append(ids[some])
+            known[at[some][width[at[some]] == n]] = True
+            on = np.flatnonzero(left[at] > n)
+            at, node = at[on], node[on]
         spelt = np.flatnonzero(~known)
         spelt = np.concatenate([spelt[width[spelt] > i] + i for i in range(4)])
         source, target, piece = (np.concatenate((*x, y)) for x, y in zip((source, target, piece), (spelt, spelt + 1, vocabulary.byte_ids[data[spelt]])))
         weight = vocabulary.weight[piece]
         weight[len(weight) - len(spelt) :] = vocabulary.byte_weight
-        order = np.argsort(source, kind="stable")  # of a few sorted runs
+        order = np.argsort(source.astype(np.uint16) if len(data) <= 1 << 16 else source, kind="stable")
         source, target, piece, weight = (x[order] for x in (source, target, piece, weight))
         beta, paths = np.where(left == 0, 0.0, -np.inf), (left == 0).astype(np.float64)
         distance = left[source]
@@ -156,33 +187,34 @@ class Lattices:
             log = weight + beta[target] - beta[source]
             likely = np.where(np.isfinite(log), np.exp(log), 0.0)
         order = np.argsort(source + (1 - np.minimum(likely, 1.0)) / 2, kind="stable")  # the likely edges of a node come first
-        self.source, self.target, self.piece, self.log = (x[order] for x in (source, target, piece, log))
-        self.begin = np.searchsorted(self.source, np.arange(len(data) + 1))
-        share = np.cumsum(likely[order])
-        self.share = share - np.concatenate(([0.0], share))[self.begin[self.source]]
-        self.share[self.begin[1:][np.diff(self.begin) > 0] - 1] = 2.0  # above every draw
-        self.beta, self.paths = beta, paths
+        source, target, piece, log = (x[order] for x in (source, target, piece, log))
+        begin = np.concatenate(([0], np.cumsum(np.bincount(source, minlength=len(data)))))
+        total = np.cumsum(likely[order])
+        share = total - np.concatenate(([0.0], total))[begin[source]]
+        share[begin[1:][np.diff(begin) > 0] - 1] = 2.0  # above every draw
+        return begin, target, piece, log, share, paths
 
     def walk(self, chunk: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """One sampled path for each entry of ``chunk``: log probabilities, and the edges of all paths with their owners."""
-        now, end = self.start[chunk].copy(), self.end[chunk]
-        log, active, owners, edges, step = np.zeros(len(chunk)), np.arange(len(chunk)), [], [], 0
+        """One sampled path for each entry of ``chunk``: log probabilities, the edges of all paths, and how many each has."""
+        now, end = self.start[chunk], self.end[chunk]
+        log, active, count, steps = np.zeros(len(chunk)), np.arange(len(chunk)), np.zeros(len(chunk), np.int64), []
         while len(active):
-            u = uniform(noise[active] + np.uint64((step + 1) * 0x9E3779B97F4A7C15 % 2**64))
+            u = uniform(noise[active] + np.uint64((len(steps) + 1) * 0x9E3779B97F4A7C15 % 2**64))
             edge = self.begin[now[active]]
             later = np.flatnonzero(self.share[edge] <= u)
             while len(later):
                 edge[later] += 1
                 later = later[self.share[edge[later]] <= u[later]]
-            owners.append(active)
-            edges.append(edge)
+            steps.append((active, edge.astype(np.int32)))
             log[active] += self.log[edge]
-            now[active] = self.target[edge]
-            active = active[now[active] != end[active]]
-            step += 1
-        owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-        order = np.argsort(owner, kind="stable")
-        return np.where(self.paths[self.start[chunk]] > 1, log, 0.0), (np.concatenate(edges) if edges else owner)[order], owner[order]
+            target = self.target[edge]
+            now[active] = target
+            count[active] += 1
+            active = active[target != end[active]]
+        edges, first = np.zeros(count.sum(), np.int32), np.cumsum(count) - count
+        for number, (active, edge) in enumerate(steps):
+            edges[first[active] + number] = edge
+        return np.where(self.paths[self.start[chunk]] > 1, log, 0.0), edges, count
 
     def other(self, chunk: int, taken: list[tuple[int, ...]], noise: np.uint64) -> tuple[list[int], float]:
         """A path of a chunk that is none of ``taken``, with its log probability: each step weighs what is left beyond it."""
@@ -231,21 +263,18 @@ class Sample:
 
 def sample(texts: list[bytes], keys: np.ndarray, vocabulary: Vocabulary, k: int, seed: int) -> list[tuple[list[Sample], float]]:
     """For each text up to k different segmentations by descending perturbed value, and the value that the next one has."""
-    words = [CHUNK.findall(t) for t in texts]
-    first = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
-    flat = list(chain.from_iterable(words))
-    different = list(dict.fromkeys(flat))
+    first, chunk, different = chunks_of(texts)
     lattices = Lattices(different, vocabulary) if different else None
-    chunk = np.fromiter(map(dict(zip(different, range(len(different)))).__getitem__, flat), np.int64, len(flat))
     owner = np.repeat(np.arange(len(texts)), np.diff(first))
     base = mix(keys.astype(np.uint64) + np.uint64(seed * 0xD1342543DE82EF95 % 2**64))
     place = np.arange(len(chunk)) - first[owner] + 1
-    noise = lambda leaf, use: mix(base[owner] ^ (place.astype(np.uint64) << np.uint64(16)) ^ np.uint64(leaf << 4 | use))
+    noise = lambda leaf, use, at: mix(base[owner[at]] ^ (place[at].astype(np.uint64) << np.uint64(16)) ^ np.uint64(leaf << 4 | use))
     alone = lambda leaf, use: mix(base ^ np.uint64(leaf << 4 | use))
     out: list[list[Sample]] = [[] for _ in texts]
     top = -np.log(-np.log(uniform(alone(0, 1))))  # the largest perturbed value of all segmentations
     leaves: list[dict] = []
     live = np.diff(first) > 0
+    ways = lattices.paths[lattices.start[chunk]] if lattices else np.zeros(0)
     for leaf in range(k + 1):
         if leaf == 0:
             value, parent, turn = top, np.full(len(texts), -1), np.zeros(len(texts), np.int64)
@@ -262,12 +291,13 @@ def sample(texts: list[bytes], keys: np.ndarray, vocabulary: Vocabulary, k: int,
             break
         free = np.flatnonzero(live[owner] & ((np.arange(len(chunk)) > turn[owner]) | (leaf == 0)))
         log = np.zeros(len(chunk))
-        log[free], edges, edge_owner = lattices.walk(chunk[free], noise(leaf, 2)[free])
-        cut = np.searchsorted(free[edge_owner], np.arange(len(chunk) + 1))
+        log[free], edges, count = lattices.walk(chunk[free], noise(leaf, 2, free))
+        cut = np.zeros(len(chunk) + 1, np.int64)
+        cut[free + 1] = count
+        np.cumsum(cut, out=cut)
         paths = [edges, cut, {}]  # changed paths by chunk place
         open_ = np.full(len(chunk), -np.inf)
         taken: dict[int, list[tuple[int, ...]]] = {}
-        single = np.maximum(lattices.paths[lattices.start[chunk]] - 1, 0)
         fixed = np.zeros(len(chunk), bool)
         changed_mass: dict[int, float] = {}
         turn_noise = alone(leaf, 3)
@@ -284,13 +314,13 @@ def sample(texts: list[bytes], keys: np.ndarray, vocabulary: Vocabulary, k: int,
             changed_mass[at] = float(np.log(max(rest, 1e-15))) if left else -np.inf
             old["open"][at] = -np.inf
         with np.errstate(divide="ignore"):
-            mass = np.where(single > 0, np.log(-np.expm1(np.minimum(log, -1e-16))), -np.inf)
+            mass = np.where(ways > 1, np.log(-np.expm1(np.minimum(log, -1e-16))), -np.inf)
         for at, m in changed_mass.items():
             mass[at] = m
         prefix = np.cumsum(log) - log
         prefix -= np.concatenate((prefix, [0.0]))[first[owner]] if len(chunk) else 0
-        ready = live[owner] & ~fixed
-        open_[ready] = below((mass + prefix)[ready], value[owner][ready], noise(leaf, 4)[ready])
+        ready = np.flatnonzero(live[owner] & ~fixed)
+        open_[ready] = below((mass + prefix)[ready], value[owner[ready]], noise(leaf, 4, ready))
         leaves.append({"log": log, "paths": paths, "open": open_, "taken": taken, "parent": parent, "turn": turn})
         total = np.bincount(owner, log, len(texts))
         for i in np.flatnonzero(live).tolist():
@@ -302,6 +332,23 @@ def sample(texts: list[bytes], keys: np.ndarray, vocabulary: Vocabulary, k: int,
     return list(zip(out, limit.tolist()))
 
 
+def chunks_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Each text's first chunk (one more: the end), each chunk's number, and the different chunks by descending length."""
+    data = b"".join(texts)
+    begin = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+    blank = np.frombuffer(data, np.uint8) == 0x20
+    cut = blank.copy()
+    cut[1:] &= ~blank[:-1]
+    cut[begin[:-1][np.diff(begin) > 0]] = True
+    at = np.flatnonzero(cut)
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)]).dictionary_encode()
+    different = words.dictionary.to_pylist()
+    order = sorted(range(len(different)), key=lambda i: -len(different[i]))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    return np.searchsorted(at, begin), number[words.indices.to_numpy()], [different[i] for i in order]
+
+
 def maxima(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The largest value of each text; minus infinity for a text without chunks."""
     out = np.full(len(first) - 1, -np.inf)

@@ -509,3 +509,26 @@ def test_the_query_of_pieces_gives_out_the_ids_it_samples(spark, tmp_path):
     rows = QUERIES["op5_pieces"](spark, str(tmp_path))
     back = pieces.decode(rows.select("doc_id", "ids"))
     assert {(r["doc_id"], r["text"]) for r in back.collect()} == {(1, "the cat sat"), (2, ""), (3, "")}
+
+
+def test_lattices_in_blocks_are_those_of_one_block(monkeypatch):
+    vocabulary, source = small_vocabulary(), random.Random(3)
+    texts = ["".join(source.choices("ab é", k=source.randrange(60))).encode() for _ in range(200)]
+    whole = pieces.sample(texts, np.arange(200), vocabulary, 2, 1)
+    made = []
+    block = pieces.Lattices.block
+    monkeypatch.setattr(pieces.Lattices, "block", staticmethod(lambda chunks, *rest: made.append(sum(map(len, chunks))) or block(chunks, *rest)))
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 64)
+    monkeypatch.setattr(pieces, "BLOCK_CHUNKS", 1)
+    parts = pieces.sample(texts, np.arange(200), vocabulary, 2, 1)
+    assert len(made) > 5 and max(made) <= 64  # memory follows a block of chunks, not the pack
+    assert [[s.ids.tolist() for s in found] for found, _ in parts] == [[s.ids.tolist() for s in found] for found, _ in whole]
+    assert np.allclose([limit for _, limit in parts], [limit for _, limit in whole])
+
+
+def test_chunks_are_cut_before_each_run_of_blanks():
+    texts = [b"", b"a b", b"  a  b ", b" ", b"", b"\n a\t", "é  ü".encode(), b"x", b" x"]
+    first, chunk, different = pieces.chunks_of(texts)
+    assert [[different[i] for i in chunk[a:b]] for a, b in zip(first, first[1:])] == [re.findall(rb" *[^ ]+| +", t) for t in texts]
+    assert len(set(different)) == len(different) and [len(x) for x in different] == sorted(map(len, different), reverse=True)
+    assert [x.tolist() if hasattr(x, "tolist") else x for x in pieces.chunks_of([b""])] == [[0, 0], [], []]
