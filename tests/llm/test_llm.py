@@ -511,6 +511,22 @@ def test_the_query_of_pieces_gives_out_the_ids_it_samples(spark, tmp_path):
     assert {(r["doc_id"], r["text"]) for r in back.collect()} == {(1, "the cat sat"), (2, ""), (3, "")}
 
 
+def test_anchors_of_a_text_come_back_in_one_row_however_many_packs(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "PACK_KEYS", 20)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 3000)
+    source = random.Random(5)
+    text = "".join(source.choices("abcdefgh ", k=2000))
+    table = spark.createDataFrame([(1, 1, text), (2, 2, "x" + text), (3, 3, text[:900] + "y" + text[900:])], "id long, code long, text string")
+    rows = suffixes.shared_anchors(table, 100, suffixes.BLOCK).collect()
+    assert {r["id"] for r in rows} == {1, 2, 3} and len(rows) == 3
+    names, places = zip(*((r["id"], np.frombuffer(r["places"], np.int32)) for r in rows))
+    keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+    assert all(len(k) == len(p) for k, p in zip(keys, places)) and any(len(k) for k in keys)
+    docs = table.select(F.col("id").alias("doc_id"), "text")
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffixes.remove(docs).collect()}
+    assert got == {1: (0, 0), 2: (2000, 1), 3: (2000, 2)}
+
+
 def test_lattices_in_blocks_are_those_of_one_block(monkeypatch):
     vocabulary, source = small_vocabulary(), random.Random(3)
     texts = ["".join(source.choices("ab é", k=source.randrange(60))).encode() for _ in range(200)]
