@@ -6,10 +6,11 @@ A document's set holds the distinct hashes of its word n-grams. Two documents li
 1. Sets. One pass over the texts writes, for each document, the set's size, a 128-bit digest and a parity sketch (n-grams
    XOR-hashed into 1 to 2 bits for each of them). Documents of equal digest are one set.
 2. Bands. Sizes fall into overlapping groups such that linked sets share one. A group cuts the hash space into parts;
-   the parity of a part's n-grams (64 bits, and their number) is a band. Sets that differ in at most D n-grams agree in
-   all but D bands, so a set publishes its richest bands, more than D of them: by the pigeonhole principle linked sets
-   publish a common one. (Bands are in one order, by number of n-grams and key. If B's last band is not before A's, more
-   than D bands of B are there or further up, one of them is untouched, and A publishes it too.) Bands are never written: a second pass over the
+   the sum of a part's n-grams (64 bits, and their number) is a band: only parts of the same n-grams share one, so sets
+   without common n-grams do not meet. Sets that differ in at most D n-grams agree in all but D bands, so a set publishes
+   its richest bands, more than D of them: by the pigeonhole principle linked sets publish a common one. (Bands are in
+   one order, by number of n-grams and key. If B's last band is not before A's, more than D bands of B are there or
+   further up, one of them is untouched, and A publishes it too.) Bands are never written: a second pass over the
    texts deals them into binary packs, where they meet by key. A pack is part of a key's value, so 4 more bytes tell the
    keys of a pack apart, and the shuffle moves a few rows for each task and 10 bytes for each band.
 3. Families. The members of a key's bucket, in order of size, are cut where a gap is too wide for a link, and each run
@@ -100,9 +101,9 @@ class Bands:
             parts = max(2, ceil(self.spread * (self.most(2 * top) + 1)))
             part = (((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
             size = np.bincount(part, minlength=parts)
-            parity = np.zeros(parts, np.uint64)
-            np.bitwise_xor.at(parity, part, np.uint64(1) << (own & np.uint64(63)))
-            key = mix(mix(parity + size.astype(np.uint64)) ^ mix((np.arange(parts) + (g << 40) + 1).astype(np.uint64)))
+            ends = np.concatenate(([0], np.cumsum(size)))  # own is sorted, so a part is a slice of it
+            total = np.diff(np.concatenate((np.zeros(1, np.uint64), np.cumsum(own)))[ends])
+            key = mix(mix(total + size.astype(np.uint64)) ^ mix((np.arange(parts) + (g << 40) + 1).astype(np.uint64)))
             out.append(key[np.lexsort((key, size))[-need - 1 :]])
         return np.concatenate(out)
 
@@ -301,7 +302,8 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     grams = sets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     candidates = settled(led(docs.select(F.col(text_col).cast("string").alias("text")), grams, percent, n), "candidates")
     met = in_blocks(candidates, "leader", "code", SKETCH_BLOCK).join(one.select("code", "row", "size", "sketch"), "code")
-    near = each_group(met, ["leader", "i", "j"], linked(percent), "a long, b long")
+    # Written before its components, so that a stage runs one Arrow step and an executor no more Python workers than cores.
+    near = settled(each_group(met, ["leader", "i", "j"], linked(percent), "a long, b long"), "near")
     family = components(near)
     members = settled(family.join(one.select(F.col("row").alias("id"), F.col("id").alias("doc"), "digest", "size", "copies"), "id")
                       .select("label", F.col("id").alias("row"), "doc", "digest", "size", "copies"), "families")

@@ -171,6 +171,20 @@ def test_bands_meet_for_every_linked_pair():
                 assert set(bands.keys(a).tolist()) & set(bands.keys(b).tolist())
 
 
+def test_unrelated_sets_share_no_band(spark):
+    numbers, seen = np.random.default_rng(3), Counter()
+    for n in [12, 30, 60, 150] * 60:
+        own = np.unique(numbers.integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2))
+        seen.update(set(jaccard.Bands(80).keys(own).tolist()))
+    assert max(seen.values()) == 1
+    source = random.Random(29)
+    texts = [" ".join(f"w{source.random()}" for _ in range(64)) for _ in range(240)]
+    near = [" ".join(["e", *t.split()[1:]]) for t in texts[:20]]
+    frame = spark.createDataFrame([(t,) for t in texts + near], "text string")
+    for percent, n in ((80, 5), (85, 4)):
+        assert jaccard.led(frame, 64 * len(texts + near), percent, n).count() == 2 * len(near)  # leader and copy, no others
+
+
 def test_codes_of_linked_sizes_are_near_and_bands_are_few():
     for percent in (80, 85):
         bands, numbers = jaccard.Bands(percent), np.random.default_rng(2)
