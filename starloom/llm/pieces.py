@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,8 @@ BLOCK_CHARACTER = "▁"
 LATTICE_BYTES = 2 << 20
 #: Bytes of chunks whose edges are found together; a block holds this many chunks at least, as its steps follow its longest.
 BLOCK_BYTES, BLOCK_CHUNKS = 1 << 16, 256
+#: Bytes of the character that each byte leads.
+WIDTH = np.repeat(np.array([1, 2, 3, 4]), [0x80, 0x60, 0x10, 0x10])
 
 
 def default_model() -> str:
@@ -53,10 +56,13 @@ def default_model() -> str:
 
 
 class Vocabulary:
-    """Pieces as bytes, their log weights, and a trie of them: its steps (node, byte) in a hashed table, node 0 the root."""
+    """Pieces as bytes, their log weights, and a trie of them: its steps (node, byte) in a hashed table, node 0 the root.
+
+    The nodes of the first byte and of the first two bytes, which all positions of a text ask for, have tables of their own.
+    """
 
     def __init__(self, pieces: list[bytes | None], byte_ids: list[int], shift: float, sharpness: float):
-        self.pieces, self.byte_ids = pieces, np.array(byte_ids)
+        self.pieces, self.byte_ids, self.spellings = pieces, np.array(byte_ids), pa.array(pieces, pa.large_binary())
         self.weight = -sharpness * np.log(np.arange(len(pieces)) + shift)
         self.byte_weight = float(self.weight.min())
         spelt = set(byte_ids)
@@ -71,6 +77,11 @@ class Vocabulary:
         self.piece_at = np.full(len(steps) + 1, -1)
         self.piece_at[list(piece_at)] = list(piece_at.values())
         keys, following = (np.fromiter(x, np.int64, len(steps)) for x in (steps, steps.values()))
+        self.one, self.two, lead = np.full(1 << 8, -1), np.full(1 << 16, -1), np.full(len(steps) + 1, -1)
+        top = keys < 1 << 8
+        self.one[keys[top]], lead[following[top]] = following[top], keys[top]
+        second = lead[keys >> 8] >= 0
+        self.two[lead[keys[second] >> 8] << 8 | keys[second] & 0xFF] = following[second]
         self.shift = np.uint64(64 - max(8, (4 * len(steps)).bit_length()))
         slot = self.slots(keys)
         order = np.argsort(slot, kind="stable")
@@ -115,6 +126,17 @@ class Vocabulary:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
 
+    def decode_all(self, ids: np.ndarray, cut: np.ndarray) -> Iterator[bytes]:
+        """What the ids between neighbouring cuts spell."""
+        if not len(ids):
+            yield from [b""] * (len(cut) - 1)
+            return
+        spelt = self.spellings.take(pa.array(ids))
+        _, places, data = spelt.buffers()
+        ends, data = np.frombuffer(places, np.int64)[cut].tolist(), memoryview(data or b"")
+        for a, b in zip(ends, ends[1:]):
+            yield data[a:b].tobytes()
+
 
 class Lattices:
     """The lattices of different chunks, laid out one after another: nodes are byte positions, one more for each end.
@@ -149,21 +171,25 @@ class Lattices:
         left = np.repeat(np.cumsum(size) - 1, size) - np.arange(len(data))  # bytes to the chunk's end
         source, target, piece = [], [], []
         lead = (data & 0xC0) != 0x80
-        width = np.where(data < 0x80, 1, np.where(data < 0xE0, 2, np.where(data < 0xF0, 3, 4)))
+        width = WIDTH[data]
         known = ~lead | (left == 0)
         at, n = np.flatnonzero(lead & (left > 0)), 0
-        node = np.zeros(len(at), np.int64)
         while len(at):  # all bytes that go on along the trie
-            node = vocabulary.step(node, data[at + n])
+            if n > 1:
+                node = vocabulary.step(node, data[at + n])
+            else:
+                node = vocabulary.two[data[at].astype(np.int64) << 8 | data[at + 1]] if n else vocabulary.one[data[at]]
             n += 1
             on = np.flatnonzero(node >= 0)
             at, node = at[on], node[on]
             ids = vocabulary.piece_at[node]
             some = np.flatnonzero(ids >= 0)
-            source.append(at[some])
-            target.append(at[some] + n)
+            here = at[some]
+            source.append(here)
+            target.append(here + n)
             piece.append(ids[some])
-            known[at[some][width[at[some]] == n]] = True
+            if n <= 4:
+                known[here[width[here] == n]] = True
             on = np.flatnonzero(left[at] > n)
             at, node = at[on], node[on]
         spelt = np.flatnonzero(~known)
@@ -180,10 +206,11 @@ class Lattices:
         with np.errstate(invalid="ignore"):
             for a, b in zip(steps, np.append(steps[1:], len(source))):  # from the ends of chunks backwards
                 own = order[a:b]
-                nodes = source[own]
+                nodes, following = source[own], target[own]
                 first = np.flatnonzero(np.concatenate(([True], nodes[1:] != nodes[:-1])))
-                beta[nodes[first]] = np.logaddexp.reduceat(weight[own] + beta[target[own]], first)
-                paths[nodes[first]] = np.add.reduceat(paths[target[own]], first)
+                nodes = nodes[first]
+                beta[nodes] = np.logaddexp.reduceat(weight[own] + beta[following], first)
+                paths[nodes] = np.add.reduceat(paths[following], first)
             log = weight + beta[target] - beta[source]
             likely = np.where(np.isfinite(log), np.exp(log), 0.0)
         order = np.argsort(source + (1 - np.minimum(likely, 1.0)) / 2, kind="stable")  # the likely edges of a node come first
@@ -342,11 +369,11 @@ def chunks_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     cut[begin[:-1][np.diff(begin) > 0]] = True
     at = np.flatnonzero(cut)
     words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)]).dictionary_encode()
-    different = words.dictionary.to_pylist()
-    order = sorted(range(len(different)), key=lambda i: -len(different[i]))
+    different = words.dictionary
+    order = np.argsort(-pc.binary_length(different).to_numpy(), kind="stable")
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
-    return np.searchsorted(at, begin), number[words.indices.to_numpy()], [different[i] for i in order]
+    return np.searchsorted(at, begin), number[words.indices.to_numpy()], different.take(pa.array(order)).to_numpy(zero_copy_only=False).tolist()
 
 
 def maxima(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -406,14 +433,18 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
         for batch in batches:
             texts, keys = texts_of(batch.column(2)), batch.column(1).to_numpy()
             for part in packs(texts, LATTICE_BYTES):
-                at, rows = [], []
-                for i, (found, limit) in enumerate(sample(texts[part], keys[part], known.value, k, seed)):
+                at, rows, ids = [], [], []
+                for i, (found, limit) in enumerate(sample(texts[part], keys[part], known.value, k, seed), part.start):
                     for number, s in enumerate(found, 1):
-                        at.append(part.start + i)
-                        rows.append((number, len(s.ids), s.log, inclusion(s.log, limit), hashlib.sha256(s.ids.tobytes()).hexdigest(),
-                                     known.value.decode(s.ids.tolist()) == texts[part.start + i], s.ids))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array([r[c] for r in rows], kind) for c, (_, kind) in enumerate(kinds))],
-                                                 names=["key", *(name for name, _ in kinds)])
+                        at.append(i)
+                        ids.append(s.ids)
+                        rows.append((number, len(s.ids), s.log, inclusion(s.log, limit), hashlib.sha256(s.ids.tobytes()).hexdigest()))
+                cut, ids = np.cumsum([0, *map(len, ids)]), np.concatenate([np.zeros(0, np.int32), *ids])
+                columns = [*([r[c] for r in rows] for c in range(5)), [spelt == texts[i] for i, spelt in zip(at, known.value.decode_all(ids, cut))]]
+                columns = [pa.array(x, kind) for x, (_, kind) in zip(columns, kinds)]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(ids)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], names=["key", *(name for name, _ in kinds)])
 
     key = F.col(id_col)
     small = docs.select(key.alias("key"), F.xxhash64(key).alias("hash"), F.col(text_col).cast("string").alias("text"))

@@ -562,3 +562,40 @@ def test_chunks_are_cut_before_each_run_of_blanks():
     assert [[different[i] for i in chunk[a:b]] for a, b in zip(first, first[1:])] == [re.findall(rb" *[^ ]+| +", t) for t in texts]
     assert len(set(different)) == len(different) and [len(x) for x in different] == sorted(map(len, different), reverse=True)
     assert [x.tolist() if hasattr(x, "tolist") else x for x in pieces.chunks_of([b""])] == [[0, 0], [], []]
+
+
+def test_lattices_ask_the_hashed_steps_of_pieces_from_the_third_byte_on(monkeypatch):
+    vocabulary, source = small_vocabulary(), random.Random(4)
+    root, step = np.zeros(256, np.int64), vocabulary.step
+    assert vocabulary.one.tolist() == step(root, np.arange(256)).tolist()
+    pairs = np.arange(1 << 16)
+    first = vocabulary.one[pairs >> 8]
+    want = np.where(first < 0, -1, step(np.maximum(first, 0), pairs & 255))
+    assert vocabulary.two.tolist() == want.tolist() and 0 < (want >= 0).sum()
+    asked = []
+    monkeypatch.setattr(vocabulary, "step", lambda node, byte: asked.append(len(node)) or step(node, byte))
+    chunks = sorted({"".join(source.choices("abé", k=source.randrange(1, 20))).encode() for _ in range(300)}, key=lambda x: -len(x))
+    lattices = pieces.Lattices(chunks, vocabulary)
+    deep = sum(1 for x in chunks for i in range(len(x) - 2) if want[x[i] << 8 | x[i + 1]] >= 0)
+    assert asked and asked[0] <= deep and sum(asked) <= 2 * deep  # the longest piece has four bytes
+    for x, at in zip(chunks, lattices.start.tolist()):
+        if len(x) < 9:
+            assert lattices.paths[at] == len(segmentations(x, vocabulary))
+
+
+def test_all_ids_of_a_pack_are_decoded_together():
+    vocabulary, source = small_vocabulary(), random.Random(6)
+    texts = [b"", *("".join(source.choices("ab éü", k=source.randrange(40))).encode() for _ in range(50)), b""]
+    ids = [s.ids for found, _ in pieces.sample(texts, np.arange(len(texts)), vocabulary, 2, 1) for s in found]
+    cut = np.cumsum([0, *map(len, ids)])
+    assert [*vocabulary.decode_all(np.concatenate(ids), cut)] == [vocabulary.decode(x.tolist()) for x in ids]
+    assert [*vocabulary.decode_all(np.zeros(0, np.int32), np.zeros(3, np.int64))] == [b"", b""]
+
+
+def test_pieces_of_empty_texts_alone_and_of_no_samples(spark):
+    docs = spark.createDataFrame([(1, None), (None, ""), (3, None)], "doc_id long, text string")
+    rows = [tuple(r) for r in pieces.encode(docs).select("doc_id", "sample", "n_pieces", "log_prob", "inclusion", "exact", "ids").collect()]
+    assert Counter(map(str, rows)) == Counter(str((i, 1, 0, 0.0, 1.0, True, [])) for i in (1, None, 3))
+    full = spark.createDataFrame([(1, "ab a"), (1, "ab a")], "doc_id long, text string")
+    assert pieces.encode(full, k=0).count() == 0 and pieces.encode(full, k=0).columns == pieces.encode(full).columns
+    assert sorted(r["sample"] for r in pieces.encode(full, with_ids=False).collect()) == [1, 1, 2, 2]
