@@ -317,6 +317,15 @@ def test_repeats_are_those_of_the_first_copy_in_any_order_of_rows(spark):
         assert {r["doc_id"]: r["n_removed"] for r in suffixes.remove(table).collect()} == want
 
 
+def test_a_pack_that_holds_only_copies_met_before(spark):
+    source = random.Random(31)
+    text = "".join(source.choices("abcdefghijklmnopqrstuvwxyz ", k=1_100_000))  # alone in its pack
+    rows = [(4, text), (6, text), (8, "short"), (9, text)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"]: r["n_removed"] for r in suffixes.remove(table).collect()} == {4: 0, 6: len(text), 8: 0, 9: len(text)}
+    assert [len(x) for x in suffixes.anchors([], 100)] == [0, 0, 0, 0]
+
+
 def test_two_stage_sorting_orders_suffixes():
     for text in (b"banana", b"mississippi", b"aaaa", b"abab" * 9, bytes(random.choices(b"ab", k=200)), b"\0a\0\0b\0"):
         data = np.frombuffer(text + b"\0", np.uint8)
