@@ -195,3 +195,33 @@ def test_a_single_batch_is_read_and_written_without_ranking(spark, tmp_path):
     assert {tuple(r) for r in table.read(before=2).collect()} == {(1, "a"), (2, "b"), (3, "c")}
     table.upsert(rows.unionAll(rows), 3)  # rows that may repeat are still reduced to one for each key
     assert table.read_batch(3).count() == 3
+
+
+def test_few_batches_are_laid_over_each_other_without_ranking(spark):
+    table = KeyedTable(spark, fresh_dir(spark, "table"), ["k"])
+    table.upsert(spark.createDataFrame([("a", 1), ("b", 1), ("c", 1), (None, 1)], "k string, v int"), 1)
+    table.upsert(spark.createDataFrame([("b", 2), ("d", 2), (None, 2)], "k string, v int"), 2, removed=spark.createDataFrame([("c",), ("d",)], "k string"))
+    assert "Window" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in table.read().collect()} == {("a", 1), ("b", 2), ("d", 2), (None, 2)}
+    table.upsert(spark.createDataFrame([("c", 3, "new")], "k string, v int, w string"), 3, removed=spark.createDataFrame([("b",)], "k string"))
+    want = {("a", 1, None), ("c", 3, "new"), ("d", 2, None), (None, 2, None)}
+    assert {tuple(r) for r in table.read().collect()} == want and table.read().count() == 4
+    assert {tuple(r) for r in table.lookup(spark.createDataFrame([("b",), ("c",), ("d",)], "k string")).collect()} == {("c", 3, "new"), ("d", 2, None)}
+    table.upsert(spark.createDataFrame([("e", 4, "new")], "k string, v int, w string"), 4)  # now they are ranked
+    assert {tuple(r) for r in table.read().collect()} == want | {("e", 4, "new")}
+    table.compact()
+    table.upsert(spark.createDataFrame([("a", 5, "new")], "k string, v int, w string"), 5, removed=spark.createDataFrame([("e",)], "k string"))
+    assert {tuple(r) for r in table.read().collect()} == {("a", 5, "new"), ("c", 3, "new"), ("d", 2, None), (None, 2, None)}
+
+
+def test_a_batch_with_removed_keys_is_computed_once(spark):
+    table, made = KeyedTable(spark, fresh_dir(spark, "table"), ["k"]), spark.sparkContext.accumulator(0)
+
+    def row(k):
+        made.add(1)
+        return k, "a"
+
+    rows = spark.sparkContext.parallelize([1, 2, 3], 1).map(row).toDF("k long, v string")
+    table.upsert(rows, 1, removed=spark.createDataFrame([(2,), (4,)], "k long"))
+    assert made.value == 3
+    assert {tuple(r) for r in table.read().collect()} == {(1, "a"), (2, "a"), (3, "a")}
