@@ -1,7 +1,7 @@
 """Operators against brute force on small seeded data, and the properties they promise."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
@@ -209,3 +209,27 @@ def test_reconcile_flags_missing_and_differing_sides(spark):
         "w", F.col("w").cast("decimal(19,4)"))
     got = {r.d: r.is_match for r in joins.reconcile(a, b, ["d"], ("n", "m"), ("v", "w")).collect()}
     assert got == {1: True, 2: False, 3: False, 4: False}
+
+
+def test_events_as_of_a_moment_and_now_are_those_of_two_logs_from_one_shuffle(spark):
+    moment = datetime(2024, 5, 1)
+    days = [None, datetime(2024, 4, 1), moment, datetime(2024, 5, 2)]
+    rows = [(k, d, s, v) for i, k in enumerate(["a", "b", "c", "d", None]) for d in days[i % 3:] for s in (1, None) for v in ("x", "y", None)][:-7]
+    log = spark.createDataFrame([*rows, ("late", datetime(2025, 1, 1), 5, "z"), ("null", None, 1, "z")], "k string, ingested_at timestamp_ntz, seq int, v string")
+    then, now = cdc.latest_as_of(log, ["k"], moment)
+    early = log.filter(F.col("ingested_at") <= F.lit(moment).cast("timestamp_ntz"))
+    assert Counter(map(tuple, then.collect())) == Counter(map(tuple, cdc.latest_event(early, ["k"]).select(*log.columns).collect()))
+    assert Counter(map(tuple, now.collect())) == Counter(map(tuple, cdc.latest_event(log, ["k"]).select(*log.columns).collect()))
+    kept = now.join(spark.createDataFrame([("a",), ("late",)], "k string"), "k", "left_semi").select("k", "v")
+    both = then.select("k", "v").unionByName(kept)  # one side asks for keys that are not NULL
+    assert sorted(r["k"] or "" for r in both.collect()) == ["", "a", "a", "b", "c", "d", "late"]
+    assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+
+
+def test_lines_of_named_orders_count_as_changed(spark):
+    at = datetime(2024, 1, 1)
+    lines = spark.createDataFrame([("l1", "o1", at), ("l2", "o2", at), ("l3", None, at)], "venta_detalle_id string, venta_id string, ingested_at timestamp_ntz")
+    headers = spark.createDataFrame([("o1", at), ("o2", at)], "venta_id string, ingested_at timestamp_ntz")
+    orders = spark.createDataFrame([("o2",), ("o2",), (None,)], "sales_order_id string")
+    assert [r[0] for r in fact.changed_lines(lines, headers, datetime(2024, 2, 1), orders).collect()] == ["l2"]
+    assert fact.changed_lines(lines, headers, datetime(2024, 2, 1)).count() == 0
